@@ -209,12 +209,11 @@ def evaluate(
     parts += [_unique_counts(df, c) for c in checks if c.kind == "unique"]
     parts += [_ordered_counts(df, c, rows_per_group) for c in checks if c.kind == "ordered"]
     if known or not parts:
-        rows = [
-            (c.rule.seq, None, None, None, bool(c.success), c.rule.rule_type, c.rule.column,
-             c.rule.action, c.error)
-            for c in known
-        ]
-        parts.append(df.sparkSession.createDataFrame(rows, COUNTS))
+        rows = [_result(c, None, None, None, F.lit(bool(c.success))) for c in known]
+        results = F.array(*rows).cast(T.ArrayType(COUNTS))
+        parts.append(
+            df.sparkSession.range(1).select(F.explode(results).alias("r")).select("r.*")
+        )
     counts = reduce(DataFrame.unionByName, parts)
     values = _examples(df, checks, examples, rows_per_group) if examples else None
     if values is None:
