@@ -169,13 +169,18 @@ def split_blocks(
     ).drop("_cuts", "_hot", *[f"_h_{k}" for k in keys])
 
 
-def _blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_group: int):
-    """(frame, keys, whether the keys were made up, whether blocks exist)."""
+def _blocks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_group: int | None
+):
+    """(frame, keys, whether the keys were made up, whether blocks exist).
+
+    With rows_per_group None the caller has called split_blocks already.
+    """
     keys = list(keys)
     made_up = not keys
     if made_up:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    if BLOCK not in df.columns:
+    if rows_per_group is not None and BLOCK not in df.columns:
         df = split_blocks(df, keys, order, rows_per_group)
     return df, keys, made_up, BLOCK in df.columns
 
@@ -197,7 +202,7 @@ def previous(
     keys: Sequence[str],
     order: Sequence[str],
     values: Mapping[str, Column],
-    rows_per_group: int = ROWS_PER_GROUP,
+    rows_per_group: int | None = ROWS_PER_GROUP,
     keep_blocks: bool = False,
 ) -> DataFrame:
     """Add, for each name in ``values``, the last non-NULL value on an earlier row."""
@@ -235,7 +240,7 @@ def numbered(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    rows_per_group: int = ROWS_PER_GROUP,
+    rows_per_group: int | None = ROWS_PER_GROUP,
 ) -> DataFrame:
     """Add the 1-based row number inside each key, in the given order."""
     df, keys, made_up, split = _blocks(df, keys, order, rows_per_group)
