@@ -8,6 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakewarden.settings import small_frame
 
 # Fixed values.
 UNIFIED_COLUMNS = [
@@ -22,7 +25,7 @@ UNIFIED_COLUMNS = [
     "is_view",
     "dependent_tables",
 ]
-UNIFIED_SCHEMA = ", ".join(f"{c} STRING" for c in UNIFIED_COLUMNS)
+UNIFIED_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in UNIFIED_COLUMNS])
 
 # After FROM or JOIN: `db`.`table`, `db.table` or db.table.
 _SOURCE = r"(?i)\b(?:from|join)\s+(`[^`]+`\s*\.\s*`[^`]+`|`[^`.]+\.[^`]+`|[\w$]+\.[\w$]+)"
@@ -71,7 +74,7 @@ def catalog_metadata(
                         _yes(column.nullable), _yes(column.isPartition), _yes(is_view), text,
                     )
                 )
-    listed = spark.createDataFrame(rows, UNIFIED_SCHEMA)
+    listed = small_frame(spark, rows, UNIFIED_SCHEMA)
     return view_dependencies(listed, "dependent_tables").select(*UNIFIED_COLUMNS)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewarden.operators.skew import lookup_join, numbered, previous, split_blocks
 from lakewarden.settings import ROWS_PER_GROUP
@@ -59,7 +60,10 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     """Put the default in place of each missing value (and add absent columns)."""
     for name, (dtype, default) in ENTITY_FIELDS.items():
         standard = _typed(F.lit(default).cast("string"), dtype)
-        value = F.col(name) if name in df.columns else F.lit(None).cast(dtype)
+        value = F.lit(None).cast(dtype)
+        if name in df.columns:
+            is_text = isinstance(df.schema[name].dataType, T.StringType)
+            value = _typed(F.col(name), dtype) if is_text else F.col(name)
         df = df.withColumn(name, F.coalesce(value, standard))
     return df
 

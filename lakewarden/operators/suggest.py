@@ -17,6 +17,7 @@ from lakewarden.operators.profiling import (
     wide_profile,
 )
 from lakewarden.operators.rules import Rule
+from lakewarden.settings import small_frame
 
 # Fixed values.
 SAMPLE_SIZE = 1_000_000
@@ -157,7 +158,7 @@ def suggest_rules(
         out.add(
             key, "unique", "column_values_to_be_unique", f"Values in {key} should be unique"
         )
-    return spark.createDataFrame(out.rows, SUGGESTIONS)
+    return small_frame(spark, out.rows, SUGGESTIONS)
 
 
 def dbt_view(suggestions: DataFrame) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # A group above this many rows is "hot": it is split over several tasks.
 ROWS_PER_GROUP = 2_000_000
@@ -36,3 +39,9 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver rows as a DataFrame, by Arrow rather than through Python workers."""
+    dicts = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(dicts, schema=to_arrow_schema(schema)))

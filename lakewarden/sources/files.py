@@ -24,7 +24,7 @@ def read_documents(
 
     Both carry ``file``; a file that is no JSON object does not stop the others.
     """
-    texts = spark.read.option("wholetext", True).text(path).select(
+    texts = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), "value"
     )
     whole = F.json_object_keys("value").isNotNull() & F.try_parse_json("value").isNotNull()

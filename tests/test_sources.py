@@ -31,7 +31,7 @@ def test_documents_and_broken_files(spark, folder):
     assert [r.bri for r in rejected.collect()] == ["c"]
     row = registry.fill_defaults(valid).first()
     assert (row.bri, row.tag, row.retention, row.metadatatype) == ("a", ["x"], 365, "Metadata")
-    assert json.loads(row.additional_metadata) == {"k": 1}
+    assert row.additional_metadata.toPython() == {"k": 1}
 
 
 def test_delimited_gazetteer_and_config(spark, folder):
