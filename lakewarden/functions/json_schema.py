@@ -55,7 +55,20 @@ def _equals(value: Column, kind: Column, constant) -> Column:
 
 
 def conforms(value: Column, schema: dict) -> Column:
-    """TRUE where the (non-NULL) VARIANT value is valid under the schema."""
+    """TRUE where the VARIANT value is valid under the schema, FALSE where it is NULL.
+
+    The value is computed once, however often the schema looks at it.
+    """
+    checked = F.transform(
+        F.array(value),
+        lambda v: F.transform(
+            F.array(F.schema_of_variant(v)), lambda kind: _conforms(v, kind, schema)
+        )[0],
+    )[0]
+    return F.coalesce(checked, F.lit(False))
+
+
+def _conforms(value: Column, kind: Column, schema: dict) -> Column:
     if not isinstance(schema, dict):
         raise UnsupportedSchema("schema must be an object")
     unknown = set(schema) - NOTES - {
@@ -63,7 +76,6 @@ def conforms(value: Column, schema: dict) -> Column:
     }
     if unknown:
         raise UnsupportedSchema(f"unsupported keywords: {', '.join(sorted(unknown))}")
-    kind = F.schema_of_variant(value)
     checks = [F.lit(True)]
     if "type" in schema:
         names = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
@@ -82,7 +94,7 @@ def conforms(value: Column, schema: dict) -> Column:
     for name, inner in schema.get("properties", {}).items():
         member = _member(value, name)
         checks.append(~is_object | member.isNull() | conforms(member, inner))
-    return F.coalesce(reduce(and_, checks), F.lit(False))
+    return reduce(and_, checks)
 
 
 def _member(value: Column, name: str) -> Column:

@@ -8,11 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.functions.patterns import TOKEN_SPLIT, EntityPattern, all_patterns
+from lakewarden.settings import spread
+
+MANY_PATTERNS = 5
 
 
 def _found(text: Column, pattern: EntityPattern) -> Column:
     name = F.lit(pattern.name).alias("entity_type")
-    return F.transform(pattern.matches(text), lambda m: F.struct(name, m.alias("match")))
+    return F.transform(pattern.search(text), lambda m: F.struct(name, m.alias("match")))
+
+
+def _all_found(text: Column, patterns: Sequence[EntityPattern]) -> Column:
+    """The matches of all patterns; patterns with the same guard share one test of it."""
+    by_guard: dict[str | None, list[EntityPattern]] = {}
+    for p in patterns:
+        by_guard.setdefault(p.guard, []).append(p)
+    none = F.array().cast("array<struct<entity_type:string,match:string>>")
+    groups = []
+    for guard, members in by_guard.items():
+        found = F.flatten(F.array(*[_found(text, p) for p in members]))
+        groups.append(found if guard is None else F.when(text.rlike(guard), found).otherwise(none))
+    return F.flatten(F.array(*groups))
 
 
 def find_entities(
@@ -21,11 +37,16 @@ def find_entities(
     text_column: str,
     patterns: Sequence[EntityPattern] | None = None,
 ) -> DataFrame:
-    """(id, entity_type, match), one row per occurrence, in one pass without a shuffle."""
+    """(id, entity_type, match), one row per occurrence, in one pass over the texts.
+
+    Only a small input searched for many patterns is first spread over the cores.
+    """
     patterns = all_patterns(df.sparkSession) if patterns is None else list(patterns)
-    text = F.col(text_column)
-    found = F.flatten(F.array(*[_found(text, p) for p in patterns]))
-    return df.select(id_column, F.explode(found).alias("e")).select(id_column, "e.*")
+    texts = df.select(id_column, text_column).filter(F.col(text_column).isNotNull())
+    if len(patterns) >= MANY_PATTERNS:
+        texts = spread(texts)
+    found = _all_found(F.col(text_column), patterns)
+    return texts.select(id_column, F.explode(found).alias("e")).select(id_column, "e.*")
 
 
 def detect_entities(

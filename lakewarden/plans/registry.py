@@ -327,7 +327,10 @@ def _edges(spark, folder):
         .union(part("orders", "c", "o_custkey", "o", "o_orderkey", "load"))
         .union(returned.distinct())
     )
-    return numbered(plain, [], ["input_bri", "output_bri"], "id").withColumn("relationship_level", F.lit(1))
+    edges = numbered(plain, [], ["input_bri", "output_bri"], "id").withColumn("relationship_level", F.lit(1))
+    path = fresh_path(spark, "edges")
+    edges.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 _WALK = f"""WITH RECURSIVE edge AS (SELECT * FROM {_EDGES}), walk AS (

@@ -45,3 +45,18 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     """A few driver rows as a DataFrame, by Arrow rather than through Python workers."""
     dicts = [dict(zip(schema.names, row)) for row in rows]
     return spark.createDataFrame(pa.Table.from_pylist(dicts, schema=to_arrow_schema(schema)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give costly work on a small input to all cores.
+
+    An input too small to fill one file split per core is repartitioned; a larger one, which
+    the scan itself splits over the cores, is returned as it is. The size is the planner's
+    estimate, no job runs.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
+    return df.repartition(cores) if size < cores * split else df

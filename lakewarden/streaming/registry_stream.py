@@ -85,7 +85,10 @@ def apply_batch(
         changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch}")
         dead.write.mode("overwrite").parquet(f"{path}/dead/batch={batch}")
         state = images(folded, fields).select("bri", "alive", "last_seq", "fields", bucket.alias("bucket"))
-        state.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/state/batch={batch}")
+        # One file per bucket, rather than one per bucket and task.
+        state.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{path}/state/batch={batch}"
+        )
         folded.unpersist()
         held.update({b: batch for b in touched})
         entries = [F.struct(F.lit(b).alias("bucket"), F.lit(n).cast("bigint").alias("held"))
