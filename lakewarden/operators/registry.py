@@ -68,14 +68,8 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df
 
 
-def parse_events(
-    df: DataFrame, value: str = "value", seq: str = "seq"
-) -> tuple[DataFrame, DataFrame]:
-    """(events, dead letters) of JSON texts ``{action, metadata}`` or ``{action, bri}``.
-
-    events: bri, seq, action, fields (the keys present in ``metadata``, as a map of
-    strings, whose values may be NULL). Dead letters: value, seq and the reason.
-    """
+def mark_events(df: DataFrame, value: str = "value", seq: str = "seq") -> DataFrame:
+    """(value, seq, bri, action, fields, reason) of JSON texts; see ``parse_events``."""
     event = F.from_json(value, f"action string, bri string, metadata {STRING_MAP}")
     parsed = df.select(F.col(value).alias("value"), F.col(seq).alias("seq"), event.alias("e"))
     action, fields = F.col("e.action"), F.col("e.metadata")
@@ -93,7 +87,7 @@ def parse_events(
             F.concat(F.lit("missing: "), F.array_join(absent, ", ")),
         )
     )
-    marked = parsed.select(
+    return parsed.select(
         "value",
         "seq",
         bri.alias("bri"),
@@ -101,6 +95,20 @@ def parse_events(
         F.coalesce(fields, F.map_from_arrays(F.array(), F.array()).cast(STRING_MAP)).alias("fields"),
         reason.alias("reason"),
     )
+
+
+def parse_events(
+    df: DataFrame, value: str = "value", seq: str = "seq"
+) -> tuple[DataFrame, DataFrame]:
+    """(events, dead letters) of JSON texts ``{action, metadata}`` or ``{action, bri}``.
+
+    events: bri, seq, action, fields (the keys present in ``metadata``, as a map of
+    strings, whose values may be NULL). Dead letters: value, seq and the reason.
+    """
+    return split_events(mark_events(df, value, seq))
+
+
+def split_events(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     events = marked.filter("reason IS NULL").select("bri", "seq", "action", "fields")
     return events, marked.filter("reason IS NOT NULL").select("value", "seq", "reason")
 

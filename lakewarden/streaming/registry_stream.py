@@ -23,7 +23,8 @@ from lakewarden.operators.registry import (
     ENTITY_FIELDS,
     fold_events,
     images,
-    parse_events,
+    mark_events,
+    split_events,
 )
 from lakewarden.operators.skew import lookup_join
 from lakewarden.settings import ROWS_PER_GROUP
@@ -58,9 +59,9 @@ def apply_batch(
 ) -> None:
     """Fold one batch of (value, seq) texts into the registry at ``path``."""
     spark = lines.sparkSession
-    lines = lines.persist()
+    marked = mark_events(lines).persist()
     try:
-        events, dead = parse_events(lines)
+        events, dead = split_events(marked)
         bucket = F.pmod(F.xxhash64("bri"), F.lit(buckets)).cast("int")
         touched = {r[0] for r in events.select(bucket.alias("b")).distinct().collect()}
         held = _held(spark, path, batch)
@@ -98,7 +99,7 @@ def apply_batch(
         )
         manifest.select("e.*").write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
     finally:
-        lines.unpersist()
+        marked.unpersist()
 
 
 def stream_registry(
