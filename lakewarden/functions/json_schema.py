@@ -12,6 +12,8 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakewarden.functions.binding import let
+
 NOTES = {"$schema", "$id", "title", "description", "default", "examples"}
 
 
@@ -59,12 +61,7 @@ def conforms(value: Column, schema: dict) -> Column:
 
     The value is computed once, however often the schema looks at it.
     """
-    checked = F.transform(
-        F.array(value),
-        lambda v: F.transform(
-            F.array(F.schema_of_variant(v)), lambda kind: _conforms(v, kind, schema)
-        )[0],
-    )[0]
+    checked = let(value, lambda v: let(F.schema_of_variant(v), lambda k: _conforms(v, k, schema)))
     return F.coalesce(checked, F.lit(False))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lakewarden.operators.rules import Check, Rule, compile_rule, load_rules
 from lakewarden.operators.skew import lookup_join, previous
-from lakewarden.settings import ROWS_PER_GROUP
+from lakewarden.settings import ROWS_PER_GROUP, work_dir
 
 COUNTS = T.StructType(
     [
@@ -248,6 +248,7 @@ def flag_rows(
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Add ``failed_rules``, the numbers of the row-level rules that the row fails."""
+    work_dir(df.sparkSession)
     checks = [c for c in compile_rules(df, rules) if c.by_row]
     limits = {} if max_broadcast_rows is None else {"max_broadcast_rows": max_broadcast_rows}
     out, flags = df, []
@@ -257,13 +258,21 @@ def flag_rows(
             flags.append((c, c.unexpected))
             continue
         if c.kind == "unique":
+            # Counted once: the lookup, its size and its hot keys all come from this table.
             twice = (
                 _value_counts(df, c.rule.column)
                 .filter("value IS NOT NULL AND n > 1")
-                .select(F.col("value").alias(c.rule.column), F.lit(True).alias(flag))
+                .withColumnRenamed("value", c.rule.column)
+                .checkpoint()
             )
             out = lookup_join(
-                out, twice, [c.rule.column], "left", rows_per_group=rows_per_group, **limits
+                out,
+                twice.select(f"`{c.rule.column}`", F.lit(True).alias(flag)),
+                [c.rule.column],
+                "left",
+                rows_per_group=rows_per_group,
+                hot=twice.filter(F.col("n") > rows_per_group),
+                **limits,
             )
         else:
             out = _with_order_flag(out, c, flag, rows_per_group)

@@ -76,10 +76,12 @@ def lookup_join(
     how: str = "left",
     rows_per_group: int = ROWS_PER_GROUP,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``left`` to ``right``, which holds one row per key.
 
-    ``how`` is left, inner, left_semi or left_anti.
+    ``how`` is left, inner, left_semi or left_anti. ``hot`` may name the hot keys of ``left``
+    if the caller has counted them already.
     """
     on = list(on)
     if fits_broadcast(right, max_broadcast_rows):
@@ -87,7 +89,8 @@ def lookup_join(
     known = left.dropna(subset=on)
     if how in ("inner", "left_semi"):
         left = known
-    hot = hot_keys(known, on, rows_per_group)
+    if hot is None:
+        hot = hot_keys(known, on, rows_per_group)
     if hot is None:
         hot = known.select(*on).limit(0)
     hot = hot.select(*on)

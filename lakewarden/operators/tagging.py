@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.functions.binding import let
 from lakewarden.functions.patterns import EntityPattern
 from lakewarden.operators.reshape import column_dictionary, unpivot_cells
 from lakewarden.operators.skew import lookup_join
@@ -125,21 +126,23 @@ def _occurrences(text: Column, term: Column, label: Column) -> Column:
         F.replace(term, F.lit(r"\E"), F.lit(r"\E\\E\Q")),
         F.lit(rf"\E(?!{edge})"),
     )
-    gaps = F.split(text, quoted)
 
-    def span(i: Column) -> Column:
-        before = F.aggregate(
-            F.slice(gaps, F.lit(1), i), F.lit(0), lambda total, gap: total + F.char_length(gap)
-        )
-        begin = before + (i - 1) * F.char_length(term)
-        return F.struct(
-            begin.cast("int").alias("begin"),
-            (begin + F.char_length(term)).cast("int").alias("end"),
-            label.alias("label"),
-        )
+    def spans(gaps: Column) -> Column:
+        def span(i: Column) -> Column:
+            before = F.aggregate(
+                F.slice(gaps, F.lit(1), i), F.lit(0), lambda total, gap: total + F.char_length(gap)
+            )
+            begin = before + (i - 1) * F.char_length(term)
+            return F.struct(
+                begin.cast("int").alias("begin"),
+                (begin + F.char_length(term)).cast("int").alias("end"),
+                label.alias("label"),
+            )
+
+        several = F.transform(F.sequence(F.lit(1), F.size(gaps) - 1), span).cast(ENTITIES)
+        return F.when(F.size(gaps) > 1, several).otherwise(F.array().cast(ENTITIES))
 
-    several = F.transform(F.sequence(F.lit(1), F.size(gaps) - 1), span)
-    return F.when(F.size(gaps) > 1, several).otherwise(F.array().cast(ENTITIES)).cast(ENTITIES)
+    return let(F.split(text, quoted), spans)
 
 
 def _words(text: Column) -> Column:
@@ -148,14 +151,13 @@ def _words(text: Column) -> Column:
 
 def _runs(text: Column, lengths: Sequence[int]) -> Column:
     """The distinct runs of consecutive words that have one of the given lengths."""
-    words = _words(text)
 
-    def runs(n: int) -> Column:
+    def cut(words: Column, n: int) -> Column:
         starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        cut = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-        return F.when(F.size(words) >= n, cut).otherwise(F.array().cast("array<string>"))
+        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+        return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
 
-    return F.array_distinct(F.concat(*[runs(n) for n in lengths]))
+    return let(_words(text), lambda words: F.array_distinct(F.concat(*[cut(words, n) for n in lengths])))
 
 
 def annotate_spans(

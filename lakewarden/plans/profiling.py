@@ -207,7 +207,7 @@ def cells_by_column(spark, folder):
     """The column dictionary, with the number of cells of each column."""
     orders = read(spark, folder, "orders")
     counts = unpivot_cells(orders).groupBy("id").agg(F.count(F.lit(1)).alias("n_cells"))
-    return column_dictionary(orders).join(F.broadcast(counts), "id")
+    return column_dictionary(orders).join(counts, "id")
 
 
 def _literal():

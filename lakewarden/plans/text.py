@@ -186,8 +186,8 @@ def _places(spark, folder):
     )
     return (
         read(spark, folder, "customer")
-        .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", "c_name", place.alias("place"))
     )
 
@@ -238,7 +238,7 @@ def tag_customer_columns(spark, folder):
 def annotate_customers(spark, folder):
     nation = read(spark, folder, "nation")
     customer = read(spark, folder, "customer")
-    texts = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    texts = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("id"),
         F.concat("c_name", F.lit(" of "), "n_name", F.lit(", "), "c_mktsegment").alias("text"))
     terms = nation.select(F.col("n_name").alias("term"), F.lit("country").alias("label")).union(
