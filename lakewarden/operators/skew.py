@@ -24,7 +24,7 @@ from lakewarden.settings import (
     work_dir,
 )
 
-MAX_BLOCKS = 1024
+MAX_BLOCKS = 16384
 BLOCK = "_block"
 UNSPLIT = -1
 
@@ -119,15 +119,12 @@ def _scale(dtype: T.DataType, column: Column) -> Column:
     return column
 
 
-def _block_number(bounds: Column, value: Column, stride: int) -> Column:
-    """How many of the sorted bounds lie below value, by looking first at every
-    ``stride``-th bound and then within one stride."""
-    coarse = F.filter(bounds, lambda b, i: ((i + 1) % stride == 0) & (b < value))
-    jump = F.size(coarse) * stride
+def _block_number(coarse: Column, bounds: Column, value: Column, stride: int) -> Column:
+    """How many of the sorted bounds lie below value, by looking first at ``coarse``, every
+    ``stride``-th bound, and then within one stride."""
+    jump = F.size(F.filter(coarse, lambda b: b < value)) * stride
     rest = F.filter(F.slice(bounds, jump + 1, F.lit(stride)), lambda b: b < value)
-    return F.when(
-        bounds.isNotNull() & value.isNotNull(), jump + F.size(rest)
-    ).otherwise(F.lit(0))
+    return F.when(value.isNotNull(), jump + F.size(rest)).otherwise(F.lit(0))
 
 
 def split_blocks(
@@ -160,16 +157,22 @@ def split_blocks(
                 _scale(dtype, F.col(order[0])), [i / n for i in range(1, n)], 20 * n
             ).alias("_cuts")
         )
-        .select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot"), "_cuts")
+        .select(
+            *[F.col(k).alias(f"_h_{k}") for k in keys],
+            F.lit(True).alias("_hot"),
+            "_cuts",
+            F.filter("_cuts", lambda b, i: (i + 1) % stride == 0).alias("_coarse"),
+        )
         .checkpoint()
     )
     joined = df.join(
         F.broadcast(cuts) if fits_broadcast(cuts) else cuts, _same(keys, "_h_"), "left"
     )
-    block = _block_number(F.col("_cuts"), _scale(dtype, F.col(order[0])), stride)
+    at = _scale(dtype, F.col(order[0]))
+    block = _block_number(F.col("_coarse"), F.col("_cuts"), at, stride)
     return joined.withColumn(
         BLOCK, F.when(F.col("_hot"), block).otherwise(F.lit(UNSPLIT))
-    ).drop("_cuts", "_hot", *[f"_h_{k}" for k in keys])
+    ).drop("_cuts", "_coarse", "_hot", *[f"_h_{k}" for k in keys])
 
 
 def _blocks(

@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakewarden.operators.profiling import distinct_counts, profile, value_histogram
+from lakewarden.operators import profiling, reshape, suggest
 from lakewarden.operators.quality import evaluate
 from lakewarden.operators.registry import fill_defaults, validate
-from lakewarden.operators.reshape import (
-    column_dictionary,
-    parse_records,
-    rebuild_table,
-    record_columns,
-    unpivot_cells,
-)
-from lakewarden.operators.suggest import as_rules, dbt_view, ge_view, suggest_rules
 from lakewarden.plans.catalogue import query, read
 from lakewarden.settings import fresh_path
-from lakewarden.sources.files import read_delimited, read_documents
+from lakewarden.sources import files
 
 
 def _union(parts) -> str:
@@ -56,7 +48,7 @@ _PART = [("p_partkey", "Integral"), ("p_name", "String"), ("p_brand", "String"),
 
 
 def _profile(spark, folder, table):
-    return profile(read(spark, folder, table)).withColumns(
+    return profiling.profile(read(spark, folder, table)).withColumns(
         {"mean": F.round("mean", 4), "std_dev": F.round("std_dev", 4)}
     )
 
@@ -79,18 +71,18 @@ _CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     f"""SELECT CAST({i} AS INTEGER) AS ordinal, '{c}' AS column_name,
     count(DISTINCT {c}) + coalesce(max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS n_distinct
     FROM {_HOLED_CUSTOMER}""" for i, c in enumerate(_CUSTOMER)))
-def distinct_values(spark, folder):
+def distinct_counts(spark, folder):
     customer = read(spark, folder, "customer").withColumn(
         "c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING"))
     )
-    return distinct_counts(customer)
+    return profiling.distinct_counts(customer)
 
 
 @query(_union(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM part GROUP BY {c}"
     for c in ("p_name", "p_brand", "p_type", "p_size")))
-def histogram(spark, folder):
-    return value_histogram(read(spark, folder, "part"), ["p_name", "p_brand", "p_type", "p_size"])
+def value_histogram(spark, folder):
+    return profiling.value_histogram(read(spark, folder, "part"), ["p_name", "p_brand", "p_type", "p_size"])
 
 
 def _suggest_sql(table, columns) -> str:
@@ -149,30 +141,30 @@ def _suggest_sql(table, columns) -> str:
 
 
 def _suggested(spark, folder, table):
-    rules = suggest_rules(read(spark, folder, table), table)
+    rules = suggest.suggest_rules(read(spark, folder, table), table)
     return rules.withColumn("value_set", F.array_join("value_set", "|")).drop("parameters")
 
 
 @query(_suggest_sql("orders", _ORDERS))
-def suggest_orders(spark, folder):
+def suggest_rules(spark, folder):
     return _suggested(spark, folder, "orders")
 
 
 @query(_suggest_sql("part", _PART))
-def suggest_part(spark, folder):
+def suggest_rules_part(spark, folder):
     return _suggested(spark, folder, "part")
 
 
 @query("SELECT table_name, column_name, dbt_rule_name, description FROM "
        f"({_suggest_sql('part', _PART)})")
 def suggest_dbt_view(spark, folder):
-    return dbt_view(suggest_rules(read(spark, folder, "part"), "part")).drop("parameters")
+    return suggest.dbt_view(suggest.suggest_rules(read(spark, folder, "part"), "part")).drop("parameters")
 
 
 @query("SELECT table_name, column_name, ge_rule_name, description FROM "
        f"({_suggest_sql('part', _PART)})")
 def suggest_ge_view(spark, folder):
-    return ge_view(suggest_rules(read(spark, folder, "part"), "part")).drop("parameters")
+    return suggest.ge_view(suggest.suggest_rules(read(spark, folder, "part"), "part")).drop("parameters")
 
 
 @query(f"SELECT rule_seq, ge_rule_name AS rule_type, column_name, true AS success "
@@ -180,7 +172,7 @@ def suggest_ge_view(spark, folder):
 def suggested_rules_hold(spark, folder):
     """Every suggested rule can be evaluated and holds on the table it came from."""
     orders = read(spark, folder, "orders")
-    report = evaluate(orders, as_rules(suggest_rules(orders, "orders")), examples=0)
+    report = evaluate(orders, suggest.as_rules(suggest.suggest_rules(orders, "orders")), examples=0)
     name = F.coalesce("column_name", F.lit("ALL_COLUMNS"))
     return report.select("rule_seq", "rule_type", name.alias("column_name"), "success")
 
@@ -188,8 +180,8 @@ def suggested_rules_hold(spark, folder):
 @query(_union(
     f"SELECT CAST({i} AS INTEGER) AS id, CAST({c} AS VARCHAR) AS values FROM customer "
     f"WHERE {c} IS NOT NULL" for i, c in enumerate(_CUSTOMER)))
-def unpivot(spark, folder):
-    return unpivot_cells(read(spark, folder, "customer"))
+def unpivot_cells(spark, folder):
+    return reshape.unpivot_cells(read(spark, folder, "customer"))
 
 
 @query(_union(
@@ -197,17 +189,17 @@ def unpivot(spark, folder):
     f"(SELECT * FROM customer ORDER BY c_acctbal, c_custkey LIMIT 20)"
     for i, c in enumerate(_CUSTOMER)))
 def unpivot_head20(spark, folder):
-    return unpivot_cells(read(spark, folder, "customer"), 20, ["c_acctbal", "c_custkey"])
+    return reshape.unpivot_cells(read(spark, folder, "customer"), 20, ["c_acctbal", "c_custkey"])
 
 
 @query(_union(
     f"SELECT CAST({i} AS INTEGER) AS id, '{c}' AS columnname, count({c}) AS n_cells FROM orders"
     for i, (c, _) in enumerate(_ORDERS)))
-def cells_by_column(spark, folder):
+def column_dictionary(spark, folder):
     """The column dictionary, with the number of cells of each column."""
     orders = read(spark, folder, "orders")
-    counts = unpivot_cells(orders).groupBy("id").agg(F.count(F.lit(1)).alias("n_cells"))
-    return column_dictionary(orders).join(counts, "id")
+    counts = reshape.unpivot_cells(orders).groupBy("id").agg(F.count(F.lit(1)).alias("n_cells"))
+    return reshape.column_dictionary(orders).join(counts, "id")
 
 
 def _literal():
@@ -226,7 +218,7 @@ def _dump(spark, folder):
     events = read(spark, folder, "events")
     rows = events.select("event_id", F.lit("web").alias("db"), F.col("event_type").alias("tab"),
                          _literal().alias("rawdata"))
-    return parse_records(rows, ["db", "tab"], "rawdata")
+    return reshape.parse_records(rows, ["db", "tab"], "rawdata")
 
 
 @query("""SELECT event_id, 'web.' || event_type AS filename, event_type AS kind,
@@ -244,14 +236,14 @@ def rebuild_records(spark, folder):
     ELSE ['kind', 'user'] END) AS columnname FROM events WHERE event_type <> 'click'""")
 def rebuild_columns(spark, folder):
     records, _ = _dump(spark, folder)
-    return record_columns(records)
+    return reshape.record_columns(records)
 
 
 @query("""SELECT 'view' AS kind, CAST(user_id AS VARCHAR) AS user, 'true' AS seen,
     CAST(NULL AS VARCHAR) AS note FROM events WHERE event_type = 'view'""")
 def rebuild_one_table(spark, folder):
     records, _ = _dump(spark, folder)
-    return rebuild_table(records, "web.view", ["kind", "user", "seen", "note"])
+    return reshape.rebuild_table(records, "web.view", ["kind", "user", "seen", "note"])
 
 
 @query("SELECT event_id, 'web.click' AS filename FROM events WHERE event_type = 'click'")
@@ -262,7 +254,7 @@ def rebuild_quarantine(spark, folder):
 
 @query("""SELECT CAST(s_suppkey AS VARCHAR) AS bri, s_name AS name, 'supplier' AS datatype,
     s_nationkey AS retention, 'Metadata' AS metadatatype FROM supplier""")
-def ingest_json_documents(spark, folder):
+def ingest_json_files(spark, folder):
     """Documents written as JSON, one per file, and read back with their defaults."""
     path = fresh_path(spark, "documents")
     documents = read(spark, folder, "supplier").select(
@@ -270,14 +262,14 @@ def ingest_json_documents(spark, folder):
         F.lit("supplier").alias("datatype"), F.col("s_nationkey").alias("retention"))
     documents.select(F.to_json(F.struct("*")).alias("value")).write.option(
         "maxRecordsPerFile", 1).text(path)
-    found, _ = read_documents(spark, path)
+    found, _ = files.read_documents(spark, path)
     valid, _ = validate(found)
     return fill_defaults(valid).select("bri", "name", "datatype", "retention", "metadatatype")
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
     CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""")
-def delimited_round_trip(spark, folder):
+def read_delimited(spark, folder):
     path = fresh_path(spark, "delimited")
     read(spark, folder, "customer").write.option("sep", ";").option("header", True).csv(path)
-    return read_delimited(spark, path)
+    return files.read_delimited(spark, path)

@@ -178,6 +178,40 @@ def dq_table_rules(spark, folder):
     return report.select("rule_seq", "rule_type", "column_name", "success")
 
 
+def _success(*parts) -> str:
+    return _all(*[
+        f"SELECT CAST({i} AS INTEGER) AS rule_seq, {column} AS column_name, {success} AS success"
+        for i, (column, success) in enumerate(parts, 1)
+    ])
+
+
+@query(_success(
+    ("CAST(NULL AS VARCHAR)", "(SELECT count(*) BETWEEN 1 AND 20000 FROM lineitem)"),
+    ("CAST(NULL AS VARCHAR)", "(SELECT count(*) >= 20000 FROM lineitem)"),
+))
+def dq_row_count(spark, folder):
+    report = _report(
+        read(spark, folder, "lineitem"),
+        ("table_row_count_to_be_between", {"min_value": 1, "max_value": 20000}),
+        ("table_row_count_to_be_between", {"min_value": 20000}),
+    )
+    return report.select("rule_seq", "column_name", "success")
+
+
+@query(_success(
+    ("'o_orderpriority'", f"(SELECT count(*) BETWEEN 1 AND 3000 FROM {_HOLES} WHERE o_orderpriority IS NULL)"),
+    ("'o_custkey'", "(SELECT count(*) = 0 FROM orders WHERE o_custkey IS NULL)"),
+))
+def dq_null_count(spark, folder):
+    report = _report(
+        _with_holes(spark, folder),
+        ("column_null_count_to_be_between",
+         {"column": "o_orderpriority", "min_value": 1, "max_value": 3000}),
+        ("column_null_count_to_be_between", {"column": "o_custkey", "max_value": 0}),
+    )
+    return report.select("rule_seq", "column_name", "success")
+
+
 _DATE_TEXT = """(SELECT *, CASE o_orderstatus
     WHEN 'F' THEN strftime(o_orderdate, '%Y-%m-%d')
     WHEN 'O' THEN strftime(o_orderdate, '%m/%d/%Y')

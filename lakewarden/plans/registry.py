@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakewarden.operators import activity as act
-from lakewarden.operators import lineage, registry
-from lakewarden.operators.catalog import unify, view_dependencies
+from lakewarden.operators import catalog, lineage, registry
 from lakewarden.operators.skew import numbered
 from lakewarden.plans.catalogue import query, read
 from lakewarden.settings import fresh_path
@@ -393,13 +392,13 @@ def unified_metadata(spark, folder):
             f"{name} AS table_name", f"{column} AS column_name", "'int' AS data_type",
             "'YES' AS is_nullable", "'NO' AS is_partitioned", f"'{view}' AS is_view",
             "NULL AS dependent_tables"))
-    return unify(*parts)
+    return catalog.unify(*parts)
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size < 10 THEN NULL WHEN p_size < 30
     THEN lower(p_type) || '.t' || p_partkey
     ELSE lower(p_type) || '.t' || p_partkey || ', sales.b' || p_size END AS dependent_tables FROM part""")
-def view_dependency(spark, folder):
+def view_dependencies(spark, folder):
     text = F.when(F.col("p_size") < 10, F.lit("SELECT 1 AS one")).when(
         F.col("p_size") < 30,
         F.concat(F.lit("SELECT * FROM `"), F.lower("p_type"), F.lit("`.`t"), "p_partkey", F.lit("` x"))
@@ -407,4 +406,4 @@ def view_dependency(spark, folder):
         F.concat(F.lit("select a from "), F.lower("p_type"), F.lit(".t"), "p_partkey",
                  F.lit(" t JOIN `sales.b"), "p_size", F.lit("` u ON t.a = u.a")))
     views = read(spark, folder, "part").select("p_partkey", text.alias("view_text"))
-    return view_dependencies(views).select("p_partkey", "dependent_tables")
+    return catalog.view_dependencies(views).select("p_partkey", "dependent_tables")

@@ -7,14 +7,8 @@ import re
 from pyspark.sql import functions as F
 
 from lakewarden.functions import patterns as P
+from lakewarden.operators import tagging
 from lakewarden.operators.entities import detect_entities, find_entities, split_tokens
-from lakewarden.operators.tagging import (
-    annotate_spans,
-    annotate_terms,
-    tag_cities,
-    tag_columns,
-    tag_values,
-)
 from lakewarden.plans.catalogue import QUERIES, SQL, query, read
 
 _BY_NAME = {p.name: p for p in P.PATTERNS}
@@ -206,15 +200,15 @@ def _gazetteer(spark, folder):
 
 @query("""SELECT c_custkey, c_mktsegment = 'BUILDING' AS is_country, c_mktsegment = 'MACHINERY' AS is_region,
     true AS is_place FROM customer""")
-def tag_country_region(spark, folder):
+def tag_country(spark, folder):
     labels = {"is_country": "country", "is_region": "region", "is_place": "place"}
-    return tag_values(_places(spark, folder), "place", _gazetteer(spark, folder), labels).drop(
+    return tagging.tag_values(_places(spark, folder), "place", _gazetteer(spark, folder), labels).drop(
         "c_name", "place")
 
 
 @query("SELECT c_custkey, c_mktsegment NOT IN ('BUILDING', 'MACHINERY') AS is_city FROM customer")
 def tag_city(spark, folder):
-    return tag_cities(_places(spark, folder), "place", _gazetteer(spark, folder)).drop("c_name", "place")
+    return tagging.tag_cities(_places(spark, folder), "place", _gazetteer(spark, folder)).drop("c_name", "place")
 
 
 @query("""WITH t AS (SELECT count(*) AS n, count(*) FILTER (c_mktsegment = 'BUILDING') AS c,
@@ -223,9 +217,9 @@ def tag_city(spark, folder):
     UNION ALL SELECT 'place', 'country', n, c, round(CAST(c AS DOUBLE) / n, 9) FROM t WHERE c / n >= 0.15
     UNION ALL SELECT 'place', 'region', n, r, round(CAST(r AS DOUBLE) / n, 9) FROM t WHERE r / n >= 0.15
     UNION ALL SELECT 'c_name', 'number', n, n, 1 FROM t""")
-def tag_customer_columns(spark, folder):
+def tag_columns(spark, folder):
     df = _places(spark, folder).select("c_name", "place")
-    tagged = tag_columns(df, _gazetteer(spark, folder), [_BY_NAME["number"], _BY_NAME["email"]], 0.15)
+    tagged = tagging.tag_columns(df, _gazetteer(spark, folder), [_BY_NAME["number"], _BY_NAME["email"]], 0.15)
     return tagged.withColumn("share", F.round("share", 9))
 
 
@@ -235,7 +229,7 @@ def tag_customer_columns(spark, folder):
     FROM (SELECT *, c_name || ' of ' || n_name || ', ' || c_mktsegment AS t
           FROM customer JOIN nation ON c_nationkey = n_nationkey) CROSS JOIN LATERAL (
         SELECT n_name AS term, 'country' AS label UNION ALL SELECT c_mktsegment, 'segment'))""")
-def annotate_customers(spark, folder):
+def annotate_spans(spark, folder):
     nation = read(spark, folder, "nation")
     customer = read(spark, folder, "customer")
     texts = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
@@ -243,7 +237,7 @@ def annotate_customers(spark, folder):
         F.concat("c_name", F.lit(" of "), "n_name", F.lit(", "), "c_mktsegment").alias("text"))
     terms = nation.select(F.col("n_name").alias("term"), F.lit("country").alias("label")).union(
         customer.select("c_mktsegment", F.lit("segment")).distinct())
-    spans = annotate_spans(texts, "id", "text", terms)
+    spans = tagging.annotate_spans(texts, "id", "text", terms)
     return spans.select("id", F.explode("entities").alias("e")).select("id", "e.*")
 
 
@@ -257,7 +251,7 @@ def annotate_orders(spark, folder):
         F.col("o_orderkey").alias("id"),
         F.format_string("paid: Customer#%09d, o_custkey", "o_custkey").alias("text"))
     terms = customer.select(F.col("c_name").alias("term"), F.lit("customer").alias("label"))
-    spans = annotate_spans(texts, "id", "text", terms)
+    spans = tagging.annotate_spans(texts, "id", "text", terms)
     return spans.select("id", F.explode("entities").alias("e")).select("id", "e.*")
 
 
@@ -266,5 +260,5 @@ def annotate_orders(spark, folder):
 def annotate_whole_terms(spark, folder):
     terms = read(spark, folder, "customer").select(
         F.col("c_name").alias("term"), F.col("c_mktsegment").alias("label"))
-    spans = annotate_terms(terms)
+    spans = tagging.annotate_terms(terms)
     return spans.select("content", F.explode("entities").alias("e")).select("content", "e.*")
