@@ -26,10 +26,12 @@ def _texts(spark, folder):
         F.concat(F.lit("o"), "o_orderkey"),
         F.format_string(
             "At 10:%02d pm call 415-555-%04d ext. %d; paint #%06x, zip %05d, P.O. Box %d, id: x%d, "
-            "due 1/%d/2020, name: c%d. Kind regards, %s",
+            "due 1/%d/2020, name: c%d, cost $%d.25, mail a%d@shop.example.org, ask @clerk_%d, from "
+            "10.0.%d.1, see http://x%d.example.com/p . Kind regards, %s",
             F.expr("o_orderkey % 60"), F.expr("o_orderkey % 10000"), F.expr("o_custkey % 100"),
             F.expr("o_orderkey % 65536"), F.expr("o_custkey % 100000"), "o_custkey", "o_orderkey",
-            F.expr("1 + o_orderkey % 12"), "o_custkey", "o_orderpriority",
+            F.expr("1 + o_orderkey % 12"), "o_custkey", F.expr("o_orderkey % 1000"), "o_custkey",
+            F.expr("o_custkey % 10"), F.expr("o_orderkey % 256"), "o_custkey", "o_orderpriority",
         ),
     )
     return documents.union(conversations).union(pages).union(items).union(notes)
@@ -40,9 +42,11 @@ _TEXTS = """(SELECT 'd' || doc_id AS id, text FROM documents
     UNION ALL SELECT 'p' || page_id, html FROM pages
     UNION ALL SELECT 'b' || item_id, text FROM benchmark
     UNION ALL SELECT 'o' || o_orderkey, printf('At 10:%02d pm call 415-555-%04d ext. %d; paint #%06x, '
-        'zip %05d, P.O. Box %d, id: x%d, due 1/%d/2020, name: c%d. Kind regards, %s',
+        'zip %05d, P.O. Box %d, id: x%d, due 1/%d/2020, name: c%d, cost $%d.25, mail a%d@shop.example.org, '
+        'ask @clerk_%d, from 10.0.%d.1, see http://x%d.example.com/p . Kind regards, %s',
         o_orderkey % 60, o_orderkey % 10000, o_custkey % 100, o_orderkey % 65536, o_custkey % 100000,
-        o_custkey, o_orderkey, 1 + o_orderkey % 12, o_custkey, o_orderpriority) FROM orders)"""
+        o_custkey, o_orderkey, 1 + o_orderkey % 12, o_custkey, o_orderkey % 1000, o_custkey,
+        o_custkey % 10, o_orderkey % 256, o_custkey, o_orderpriority) FROM orders)"""
 
 
 def _pattern_sql(pattern) -> str:
