@@ -116,3 +116,11 @@ def write_tables(records: DataFrame, path: str) -> list[str]:
             f"{path}/{name}"
         )
     return list(columns)
+
+
+def rebuild_tables(
+    df: DataFrame, key_columns: Sequence[str], raw_column: str, path: str
+) -> tuple[list[str], DataFrame]:
+    """Rebuild all tables of a dump as CSV below ``path``: (table names, quarantined rows)."""
+    records, quarantine = parse_records(df, key_columns, raw_column)
+    return write_tables(records, path), quarantine

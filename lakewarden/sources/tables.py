@@ -37,3 +37,8 @@ def overwrite_table(df: DataFrame, table: str, bucket_by: str | None = None, buc
     if bucket_by and buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(table)
+
+
+def append_table(df: DataFrame, table: str) -> None:
+    """Add rows to a table, for example validated entities with their defaults."""
+    df.write.mode("append").saveAsTable(table)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.operators.registry import (
     ENTITY_FIELDS,
+    STRING_MAP,
     fold_events,
     images,
     mark_events,
@@ -31,7 +32,6 @@ from lakewarden.settings import ROWS_PER_GROUP
 
 STATE = "bri STRING, alive BOOLEAN, last_seq BIGINT, fields MAP<STRING,STRING>"
 MANIFEST = "bucket INT, held BIGINT"
-NO_FIELDS = "map<string,string>"
 
 
 def _held(spark: SparkSession, path: str, batch: int) -> dict[int, int]:
@@ -45,7 +45,7 @@ def _held(spark: SparkSession, path: str, batch: int) -> dict[int, int]:
 def _rows(spark: SparkSession, path: str, held: dict[int, int]) -> DataFrame:
     folders = [f"{path}/state/batch={n}/bucket={b}" for b, n in sorted(held.items())]
     if not folders:
-        return spark.createDataFrame([], STATE)
+        return spark.range(0).select(F.from_json(F.lit("{}"), STATE).alias("s")).select("s.*")
     return spark.read.schema(STATE).parquet(*folders)
 
 
@@ -78,7 +78,7 @@ def apply_batch(
             "bri",
             F.col("last_seq").alias("seq"),
             F.when(F.col("alive"), "create").otherwise("delete").alias("action"),
-            F.coalesce("fields", F.map_from_arrays(F.array(), F.array()).cast(NO_FIELDS)).alias("fields"),
+            F.coalesce("fields", F.map_from_arrays(F.array(), F.array()).cast(STRING_MAP)).alias("fields"),
             F.lit(True).alias("stored"),
         )
         folded = fold_events(fresh.unionByName(stored), rows_per_group=rows_per_group).persist()

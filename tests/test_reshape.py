@@ -38,7 +38,8 @@ def test_rebuild_tables(spark):
         ("db.u", [("x", "[1,null]"), ("y", '{"z":true}')]),
     ]
     folder = tempfile.mkdtemp(prefix="run-")
-    assert reshape.write_tables(records, folder) == ["db.t", "db.u"]
+    names, left = reshape.rebuild_tables(df, ["dbname", "tablename"], "rawdata", folder)
+    assert names == ["db.t", "db.u"] and left.count() == 3
     lines = []
     for f in glob.glob(folder + "/db.t/*.csv"):
         lines += list(csv.reader(open(f)))

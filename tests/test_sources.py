@@ -62,6 +62,10 @@ def test_tables_and_catalog(spark):
     df.write.mode("overwrite").partitionBy("part").saveAsTable("sales.orders")
     tables.overwrite_table(df, "sales.items", "id", 2)
     assert tables.read_columns(spark, "sales.items", ["s"]).columns == ["s"]
+    df.write.mode("overwrite").saveAsTable("sales.plain")
+    tables.append_table(df, "sales.plain")
+    assert spark.table("sales.plain").count() == 2
+    spark.sql("DROP TABLE sales.plain")
     spark.sql("CREATE OR REPLACE VIEW sales.summary AS SELECT o.id FROM sales.orders o JOIN `sales`.`items` i ON o.id = i.id")
     rows = {(r.table_name, r.column_name): r for r in catalog.catalog_metadata(spark, ["sales"]).collect()}
     assert set(rows) == {("orders", "id"), ("orders", "s"), ("orders", "part"), ("items", "id"),
