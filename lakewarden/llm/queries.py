@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import decontamination, simhash
+from lakewarden.llm import decontamination, mixing, quality_model, simhash
 from lakewarden.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,15 @@ def op4_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def op10_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """The benchmark items that every document holds."""
     return decontamination.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op6_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document."""
+    return quality_model.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that a mix of all sources takes of every document."""
+    return mixing.mix_documents(read(spark, folder, "documents"))
