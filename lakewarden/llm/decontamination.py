@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -297,16 +298,20 @@ def leak_column(text: Column, docs: DataFrame, benchmark: DataFrame, share: floa
     spark, flag = docs.sparkSession, F.lit(False)
     for items in blocks_of(benchmark, block_bytes):
         sent = spark.sparkContext.broadcast((items, share, walks, samples, width, seed))
-        built: list[Matcher] = []
+        flag = flag | F.arrow_udf(_flags(sent), T.BooleanType())(text)
+    return flag
 
-        def search(column: pa.Array, sent=sent, built=built) -> pa.Array:
-            if not built:
-                built.append(Matcher(*sent.value))
-            parts = (text_bytes(column.slice(at, 512)) for at in range(0, len(column), 512))
-            return pa.array([bool(hits) for part in parts for hits in built[0].search_all(part)], pa.bool_())
 
-        flag = flag | F.arrow_udf(search, T.BooleanType())(text)
-    return flag
+def _flags(sent: Broadcast):
+    built: list[Matcher] = []
+
+    def search(column: pa.Array) -> pa.Array:
+        if not built:
+            built.append(Matcher(*sent.value))
+        parts = (text_bytes(column.slice(at, 512)) for at in range(0, len(column), 512))
+        return pa.array([bool(hits) for part in parts for hits in built[0].search_all(part)], pa.bool_())
+
+    return search
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

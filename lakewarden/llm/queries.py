@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import decontamination, mixing, quality_model, simhash
+from lakewarden.llm import decontamination, mixing, quality_model, sharding, simhash
 from lakewarden.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,9 @@ def op6_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The words that a mix of all sources takes of every document."""
     return mixing.mix_documents(read(spark, folder, "documents"))
+
+
+@query
+def op5_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard and slot of every document."""
+    return sharding.shard_documents(read(spark, folder, "documents"))
