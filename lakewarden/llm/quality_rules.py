@@ -27,10 +27,11 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEATS = 20, 30  # words; percent of the words
 P = 5
 KEPT, LEAST, STEPS = 0.75, 50, 3
-LIMIT = 45.0  # of the squared distance; at P = 5 normal data exceed it once in 10^8
+LIMIT = 22.11  # of the squared distance; at P = 5 normal data exceed it once in 2,000
 CHI2_MEDIAN = 4.3515  # the median of a chi-squared variable with 5 degrees of freedom
-# The least standard deviation of a coordinate: most texts have no symbols and no repeats at all.
-FLOORS = (0.35, 0.10, 0.30, 0.30, 0.12)
+# The least standard deviation of a coordinate: most texts have no symbols and no repeats at all, and a text
+# is not bad for being long or short.
+FLOORS = (0.90, 0.12, 0.25, 0.30, 0.12)
 X = [f"x{i}" for i in range(P)]
 FEW_GROUPS = 100_000
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import decontamination, mixing, quality_model, quality_rules, sharding, simhash
+from lakewarden.llm import decontamination, language_model, mixing, quality_model, quality_rules, sharding, simhash
 from lakewarden.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,9 @@ def op5_kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
 def op9_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The statistics of every document, and whether it is kept."""
     return quality_rules.judge(read(spark, folder, "documents"))
+
+
+@query
+def op3_log_bilinear_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The log-probability of every document."""
+    return language_model.score_documents(read(spark, folder, "documents"))
