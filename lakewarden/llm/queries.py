@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import decontamination, language_model, mixing, quality_model, quality_rules, sharding, simhash
+from lakewarden.llm import (
+    decontamination,
+    language_model,
+    licenses,
+    mixing,
+    quality_model,
+    quality_rules,
+    sharding,
+    simhash,
+    token_counts,
+)
 from lakewarden.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +69,15 @@ def op9_robust_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op3_log_bilinear_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The log-probability of every document."""
     return language_model.score_documents(read(spark, folder, "documents"))
+
+
+@query
+def op7_token_length_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of all documents for every context limit."""
+    return token_counts.length_totals(read(spark, folder, "documents"))
+
+
+@query
+def op2_license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    """The license notices in every document."""
+    return licenses.scan(read(spark, folder, "documents"))
