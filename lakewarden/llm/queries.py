@@ -14,6 +14,7 @@ from lakewarden.llm import (
     mixing,
     quality_model,
     quality_rules,
+    secrets,
     sharding,
     simhash,
     token_counts,
@@ -81,3 +82,9 @@ def op7_token_length_totals(spark: SparkSession, folder: str) -> DataFrame:
 def op2_license_notices(spark: SparkSession, folder: str) -> DataFrame:
     """The license notices in every document."""
     return licenses.scan(read(spark, folder, "documents"))
+
+
+@query
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets in every document, with the candidates that are none."""
+    return secrets.scan(read(spark, folder, "documents"))
