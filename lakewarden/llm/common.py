@@ -73,10 +73,40 @@ def position(*columns: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11)).cast("double") / float(1 << 53)
 
 
+def sampled(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """About ``rows`` rows of a frame of small rows, at most: those whose columns hash below a cut that follows
+    from the count. All rows, if there are no more. No task sees more than its own rows."""
+    n = df.count()
+    return df if n <= rows else df.filter(position(*[F.col(c) for c in columns]) < 0.95 * rows / n)
+
+
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows whose count ``n`` is above a cut: the lowest one that leaves at most ``most`` rows. The cut is
+    found from the numbers of rows per (rounded) count, so rows are not sorted or moved."""
+    small = 1024
+    fine = F.floor(F.log2(F.col(n) / small) * small) + small
+    level = F.when(F.col(n) < small, F.col(n)).otherwise(fine)
+    sizes = {r["_l"]: r["_n"] for r in counts.groupBy(level.alias("_l")).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    cut, total = max(sizes, default=0) + 1, 0
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > most:
+            break
+        cut = at
+    return counts.filter(level >= cut)
+
+
 def numbered(
-    df: DataFrame, keys: Sequence[str], at: str, order: Sequence[str], name: str, rows: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    order: Sequence[str],
+    name: str,
+    rows: int = ROWS_PER_BUCKET,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Add the 0-based number of each row inside its group, in the order of ``at``, then ``order``.
+    """Add the 0-based number of each row inside its group, in the order of ``at``, then ``order``. With
+    ``weight`` a row stands for as many rows, and its number is that of the first.
 
     ``at`` names a column with values spread evenly over [0, 1). A group of many rows is cut by it into
     buckets of about ``rows`` rows that are numbered apart; the counts of the earlier buckets are added.
@@ -97,13 +127,18 @@ def numbered(
         .drop("_buckets", *[f"_g_{k}" for k in keys])
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy(at, *order)
-    out = cut.withColumn(name, F.row_number().over(inside) - 1)
+    if weight is None:
+        out = cut.withColumn(name, F.row_number().over(inside) - 1)
+    else:
+        above = inside.rowsBetween(Window.unboundedPreceding, -1)
+        out = cut.withColumn(name, F.coalesce(F.sum(weight).over(above), F.lit(0)))
+    own = F.count(F.lit(1)) if weight is None else F.sum(weight)
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # Groups of one bucket need no offset; the others have at most (rows of df / rows * 2) buckets.
     offsets = (
         cut.join(F.broadcast(buckets), same, "left_semi")
         .groupBy(*keys, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(own.alias("_n"))
         .select(
             *[F.col(k).alias(f"_g_{k}") for k in keys],
             F.col("_bucket").alias("_b"),

@@ -7,8 +7,8 @@
   again by weight.
 * A source whose target is at least its size is taken whole as often as fits. The rest of the target is a
   subset-sum problem on the counts: every size gives its share of documents (rounded down), larger sizes fill up
-  while more than ``window`` words are missing, and a bounded-knapsack dynamic program finds the largest sum
-  that the remaining documents reach within what is missing.
+  while more than ``window`` words are missing, and a bounded-knapsack dynamic program finds the sum
+  of remaining documents that comes nearest to what is missing.
 * The documents of a size are chosen by a seeded hash of their id. Large groups are numbered in buckets.
 """
 
@@ -43,21 +43,23 @@ def size_column(text: Column) -> Column:
     return sizes.asNondeterministic()(text)
 
 
-def largest_sum(sizes: Sequence[int], counts: Sequence[int], budget: int) -> list[int]:
-    """How many of each size to take so that the sum is the largest possible one up to the budget.
+def nearest_sum(sizes: Sequence[int], counts: Sequence[int], budget: int, over: bool = True) -> list[int]:
+    """How many of each size to take so that the sum is as near to the budget as any can be (of two equally near
+    ones, the lower); with ``over`` false, not above it.
 
     Bounded knapsack: counts are split into powers of two; reachable sums are bits of an integer.
     """
     lots = []  # (index, how many at once)
     for i, (size, count) in enumerate(zip(sizes, counts)):
-        count = min(count, budget // size) if size else 0
+        count = min(count, budget // size + over) if size else 0
         step = 1
-        while count:
+        while count > 0:
             lots.append((i, min(step, count)))
             count -= lots[-1][1]
             step *= 2
-    full = (1 << (budget + 1)) - 1
-    steps, reached, used = [], 1, 0
+    # A nearest sum above the budget is less than one size above it.
+    full = (1 << (budget + (max(sizes, default=0) if over else 0) + 1)) - 1
+    steps, reached = [], 1
     for i, n in lots:
         after = (reached | reached << (sizes[i] * n)) & full
         if after != reached:
@@ -65,7 +67,10 @@ def largest_sum(sizes: Sequence[int], counts: Sequence[int], budget: int) -> lis
             reached = after
         if reached >> budget & 1:
             break
-    best = reached.bit_length() - 1
+    best = (reached & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reached >> (budget + 1)
+    if above and (above & -above).bit_length() < budget - best:
+        best = budget + (above & -above).bit_length()
     taken = [0] * len(sizes)
     for i, n, before in reversed(steps):
         if not before >> best & 1:
@@ -75,8 +80,7 @@ def largest_sum(sizes: Sequence[int], counts: Sequence[int], budget: int) -> lis
 
 
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW) -> np.ndarray:
-    """How many documents of each size to take so that their words come as near to the budget from below as
-    the counts allow."""
+    """How many documents of each size to take so that their words come near the budget."""
     total = int(sizes @ counts)
     taken = np.zeros(len(sizes), np.int64)
     if not total or budget <= 0:
@@ -91,16 +95,17 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW
             more = min(int(counts[i] - taken[i]), (missing - window // 2) // int(sizes[i]))
             taken[i] += max(0, more)
             missing -= max(0, more) * int(sizes[i])
-    while True:
+    while missing > 0:
         part = min(missing, window)
         left = [int(i) for i in order[::-1] if sizes[i] and counts[i] > taken[i]]
+        own, free = [int(sizes[i]) for i in left], [int(counts[i] - taken[i]) for i in left]
         more = np.zeros(len(sizes), np.int64)
-        more[left] = largest_sum([int(sizes[i]) for i in left], [int(counts[i] - taken[i]) for i in left], part)
+        more[left] = nearest_sum(own, free, part, over=missing <= window)
         taken += more
-        got = int(sizes @ more)
-        missing -= got
-        if not got or missing <= 0:
-            return taken
+        missing -= int(sizes @ more)
+        if not more.any():
+            break
+    return taken
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:

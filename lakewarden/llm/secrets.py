@@ -7,7 +7,7 @@ DataFrame functions and Spark's own random forest only: there is no Python in th
 * **Features**: length; transitions between classes of characters and the share of each class; how much of the
   candidate's letters dictionary words cover (the words that occur most often in the corpus); whether it is part of
   a path, a host or an address; credential words and signs of assignment before it, words that say "example" near it.
-* **Forest**: trained on labelled findings, at most ``ROWS`` of them (those with the smallest hash). Where the
+* **Forest**: trained on labelled findings, at most about ``ROWS`` of them (those with the smallest hash). Where the
   caller has no labels, ``label_findings`` gives them to candidates whose form or assignment leaves no doubt, and
   leaves the others to the forest.
 * **Scale**: candidates are a small part of the text. Their places are running sums per text over the pieces
@@ -23,7 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import table_of
+from lakewarden.llm.common import most_frequent, sampled, table_of
 
 RUN = r"[A-Za-z0-9+/_.\-]"
 CANDIDATE = rf"(?<!{RUN})(?=[A-Za-z+/_.\-]*+[0-9]){RUN}{{16,}}+"
@@ -86,7 +86,8 @@ def dictionary(docs: DataFrame, words: int = DICTIONARY) -> DataFrame:
     """The words of four letters or more that occur in the most documents, at most ``words`` of them."""
     letters = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(r"(\p{L}{4,}+)"), 1))
     counts = docs.select(F.explode(letters).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(words).select("word")
+    counts = table_of(counts.filter("n > 1"), "words")
+    return most_frequent(counts, "n", words).select("word")
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -138,8 +139,7 @@ def label_findings(found: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, rows: int = ROWS, trees: int = 20, depth: int = 6, seed: int = 3) -> PipelineModel | None:
     """A forest from at most ``rows`` labelled findings; None if there are not both kinds."""
     known = labelled.filter("label IS NOT NULL").select("label", *FEATURES)
-    sample = known.orderBy(F.xxhash64(*known.columns)).limit(rows)
-    sample = table_of(sample, "findings")
+    sample = table_of(sampled(known, rows, *known.columns), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
