@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.functions.patterns import TOKEN_SPLIT, EntityPattern, all_patterns
+from lakewarden.functions.patterns import PATTERNS, TOKEN_SPLIT, EntityPattern
 from lakewarden.settings import spread
 
-MANY_PATTERNS = 5
-
 
 def _found(text: Column, pattern: EntityPattern) -> Column:
     name = F.lit(pattern.name).alias("entity_type")
@@ -39,12 +37,10 @@ def find_entities(
 ) -> DataFrame:
     """(id, entity_type, match), one row per occurrence, in one pass over the texts.
 
-    Only a small input searched for many patterns is first spread over the cores.
+    A small input is first spread over the cores.
     """
-    patterns = all_patterns(df.sparkSession) if patterns is None else list(patterns)
-    texts = df.select(id_column, text_column).filter(F.col(text_column).isNotNull())
-    if len(patterns) >= MANY_PATTERNS:
-        texts = spread(texts)
+    patterns = PATTERNS if patterns is None else list(patterns)
+    texts = spread(df.select(id_column, text_column).filter(F.col(text_column).isNotNull()))
     found = _all_found(F.col(text_column), patterns)
     return texts.select(id_column, F.explode(found).alias("e")).select(id_column, "e.*")
 

@@ -4,7 +4,7 @@ import statistics
 from lakewarden.operators.profiling import distinct_counts, profile, value_histogram
 from lakewarden.operators.quality import evaluate
 from lakewarden.operators.suggest import as_rules, dbt_view, ge_view, suggest_rules
-from lakewarden.sources.generator import transactions
+from examples import transactions
 
 
 def test_profile_of_all_types(spark):
@@ -46,24 +46,24 @@ def test_transactions_suggestions_can_all_be_evaluated(spark):
     rows = rules.orderBy("rule_seq").collect()
     assert [(r.column_name, r.dbt_rule_name) for r in rows] == [
         ("id", "not_null"), ("id", "relationships.range"), ("id", "expression_is_true"),
-        ("customer_id", "not_null"), ("customer_id", "relationships.range"),
-        ("customer_id", "expression_is_true"),
-        ("amount", "not_null"), ("amount", "relationships.range"), ("amount", "expression_is_true"),
-        ("category", "not_null"), ("category", "expression_is_true"), ("category", "accepted_values"),
-        ("transaction_date", "not_null"), ("transaction_date", "expression_is_true"),
-        ("transaction_date", "expression_is_true"),
-        ("is_active", "not_null"), ("ALL_COLUMNS", "row_count"), ("id", "unique"),
+        ("till", "not_null"), ("till", "relationships.range"),
+        ("till", "expression_is_true"),
+        ("total", "not_null"), ("total", "relationships.range"), ("total", "expression_is_true"),
+        ("paid_by", "not_null"), ("paid_by", "expression_is_true"), ("paid_by", "accepted_values"),
+        ("day", "not_null"), ("day", "expression_is_true"),
+        ("day", "expression_is_true"),
+        ("returned", "not_null"), ("ALL_COLUMNS", "row_count"), ("id", "unique"),
     ]
     assert json.loads(rows[1].parameters) == {
         "column": "id", "min": 0, "max": 1999, "strict_bounds": False, "mostly": 0.95}
     assert rows[1].description == "Values in id should be between 0.00 and 1999.00"
-    assert rows[11].value_set == ["A", "B", "C"]
+    assert rows[11].value_set == ["card", "cash", "voucher"]
     assert json.loads(rows[16].parameters) == {"min_value": 1600.0, "max_value": 2400.0}
     assert {r.mostly for r in rows if r.dbt_rule_name == "not_null"} == {0.95}
     report = evaluate(df, as_rules(rules)).collect()
     assert all(r.exception is None for r in report)
     failed = {(r.rule_type, r.column_name) for r in report if not r.success}
-    assert failed <= {("expect_column_values_to_be_in_past", "transaction_date")}
+    assert failed <= {("expect_column_values_to_be_in_past", "day")}
     assert dbt_view(rules).columns[2] == "dbt_rule_name" and ge_view(rules).columns[2] == "ge_rule_name"
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lakewarden.operators import catalog, registry
 from lakewarden.operators.suggest import suggest_rules
-from lakewarden.sources import files, generator, jdbc, streams, tables
+from examples import transactions
+from lakewarden.sources import files, jdbc, streams, tables
 from lakewarden.streaming import registry_stream
 
 
@@ -46,7 +47,7 @@ def test_delimited_gazetteer_and_config(spark, folder):
 
 
 def test_rule_files(spark, folder):
-    rules = suggest_rules(generator.transactions(spark, 200), "t")
+    rules = suggest_rules(transactions(spark, 200), "t")
     files.write_rules_csv(rules, f"{folder}/rules")
     back = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/rules")
     want = {tuple(r) for r in rules.select(*files.SIX_COLUMNS).collect()}
@@ -93,12 +94,6 @@ def test_connector_settings():
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "5"
 
 
-def test_transactions_are_repeatable(spark):
-    a = generator.transactions(spark, 300, today="2024-01-01").collect()
-    assert a == generator.transactions(spark, 300, today="2024-01-01").collect()
-    assert {r.category for r in a} == {"A", "B", "C"}
-
-
 def test_stream_equals_batch_and_replay_changes_nothing(spark, folder):
     rnd = random.Random(3)
     lines = []
