@@ -54,13 +54,18 @@ def catalog_metadata(
 ) -> DataFrame:
     """The tables and views of the session catalog in unified form.
 
-    This is a walk over the catalog service, as large as the catalog; no table is read.
+    This is a walk over the catalog service, as large as the catalog; no table is read. Views of
+    the session belong to no database; they are listed once, without one.
     """
-    rows = []
+    rows, session = [], set()
     names = databases or [d.name for d in spark.catalog.listDatabases()]
     for database in names:
         for table in spark.catalog.listTables(database):
             temporary = table.isTemporary
+            if temporary and table.name in session:
+                continue
+            if temporary:
+                session.add(table.name)
             qualified = f"`{table.name}`" if temporary else f"`{database}`.`{table.name}`"
             is_view = temporary or table.tableType == "VIEW"
             text = None
@@ -70,7 +75,7 @@ def catalog_metadata(
             for column in spark.catalog.listColumns(qualified):
                 rows.append(
                     (
-                        source_type, database, None, table.name, column.name, column.dataType,
+                        source_type, None if temporary else database, None, table.name, column.name, column.dataType,
                         _yes(column.nullable), _yes(column.isPartition), _yes(is_view), text,
                     )
                 )

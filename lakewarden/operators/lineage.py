@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from functools import reduce
 
@@ -27,12 +28,15 @@ def delete_edges(edges: DataFrame, ids: DataFrame, **limits) -> DataFrame:
     return lookup_join(edges, ids.select("id").dropna().distinct(), ["id"], "left_anti", **limits)
 
 
-def _follow(frontier: DataFrame, edges: DataFrame, rows_per_group: int, **limits) -> DataFrame:
-    """Join paths (node, path) to the edges that leave their node."""
-    if fits_broadcast(frontier, **limits):
+NO_HOT_KEYS = ()
+
+
+def _follow(frontier: DataFrame, edges: DataFrame, hot, rows_per_group: int, **limits) -> DataFrame:
+    """Join paths (node, path) to the edges that leave their node. ``hot``: the nodes with very many edges,
+    counted once; None as long as every frontier was small."""
+    if hot is None or fits_broadcast(frontier, **limits):
         return edges.join(F.broadcast(frontier), edges["input_bri"] == frontier["node"])
-    hot = hot_keys(edges, ["input_bri"], rows_per_group)
-    if hot is None:
+    if hot is NO_HOT_KEYS:
         return edges.join(frontier, edges["input_bri"] == frontier["node"])
     # Edges of a hot node are spread over several tasks by id; its paths go to each of them.
     spread = hot.select(
@@ -51,7 +55,7 @@ def _follow(frontier: DataFrame, edges: DataFrame, rows_per_group: int, **limits
 def downstream(
     edges: DataFrame,
     start: str | Sequence[str] | DataFrame,
-    max_depth: int = 100,
+    max_depth: int | None = None,
     distinct_edges: bool = False,
     rows_per_group: int = ROWS_PER_GROUP,
     **limits,
@@ -63,7 +67,9 @@ def downstream(
     ``distinct_edges`` each edge is given once, at the smallest level, and work is linear in
     the edges however many paths there are; use it for wide graphs.
 
-    Each level is one join, checkpointed so that plans do not grow with the depth.
+    Each level is one join, checkpointed so that plans do not grow with the depth. The walk ends
+    when nothing new is reached. With ``max_depth`` it ends after so many levels, and ``cut_off``
+    says in every row whether edges remain beyond them.
     """
     spark = edges.sparkSession
     work_dir(spark)
@@ -74,17 +80,21 @@ def downstream(
         start = spark.range(1).select(F.explode(rows).alias("bri"))
     edges = edges.select(*EDGE)
     walk = _distinct_levels if distinct_edges else _path_levels
-    levels = walk(edges, start.select("bri").distinct(), max_depth, rows_per_group, limits)
+    levels, cut_off = walk(edges, start.select("bri").distinct(), max_depth, rows_per_group, limits)
     out = reduce(DataFrame.unionByName, levels)
+    if max_depth is not None:
+        out = out.withColumn("cut_off", F.lit(cut_off))
     return out.withColumnRenamed("relationship_level", "declared_level")
 
 
 def _path_levels(edges, start, max_depth, rows_per_group, limits):
     frontier = start.select(F.col("bri").alias("node"), F.array("bri").alias("path"))
-    levels = []
-    for level in range(max_depth):
+    levels, hot = [], None
+    for level in itertools.count():
+        if hot is None and not fits_broadcast(frontier, **limits):
+            hot = hot_keys(edges, ["input_bri"], rows_per_group) or NO_HOT_KEYS
         step = (
-            _follow(frontier, edges, rows_per_group, **limits)
+            _follow(frontier, edges, hot, rows_per_group, **limits)
             .filter(~F.array_contains("path", F.col("output_bri")))
             .select(
                 *EDGE,
@@ -93,17 +103,17 @@ def _path_levels(edges, start, max_depth, rows_per_group, limits):
             )
             .checkpoint()
         )
+        done = step.isEmpty()
+        if done or level == max_depth:
+            return levels or [step], not done
         levels.append(step)
-        if step.isEmpty():
-            break
         frontier = step.select(F.col("output_bri").alias("node"), "path")
-    return levels
 
 
 def _distinct_levels(edges, start, max_depth, rows_per_group, limits):
     frontier = seen = start.select(F.col("bri").alias("input_bri"))
     levels = []
-    for level in range(max_depth):
+    for level in itertools.count():
         step = (
             lookup_join(
                 edges, frontier, ["input_bri"], "left_semi", rows_per_group=rows_per_group,
@@ -112,11 +122,11 @@ def _distinct_levels(edges, start, max_depth, rows_per_group, limits):
             .select(*EDGE, F.lit(level).alias("level"))
             .checkpoint()
         )
+        done = step.isEmpty()
+        if done or level == max_depth:
+            return levels or [step], not done
         levels.append(step)
-        if step.isEmpty():
-            break
         reached = step.select(F.col("output_bri").alias("input_bri")).distinct()
         # Both sides hold each entity once.
         frontier = reached.join(seen, "input_bri", "left_anti").checkpoint()
-        seen = seen.unionByName(frontier).checkpoint()
-    return levels
+        seen = seen.unionByName(frontier)

@@ -293,9 +293,12 @@ def act(
 
     Rows that fail a ``reject`` rule go to the quarantine with the numbers of those
     rules; values that fail a ``transform`` rule are replaced. All rules look at the
-    original values. Rules on the whole table have no rows to act on.
+    original values. Rules on the whole table, and rules that cannot be evaluated (a default that
+    does not fit the column included), have no rows to act on.
     """
     acting = [r for r in rules if r.action in ("reject", "transform")]
+    broken = {c.rule.seq for c in compile_rules(df, acting) if c.kind == "error"}
+    acting = [r for r in acting if r.seq not in broken]
     flagged = flag_rows(df, acting, rows_per_group, max_broadcast_rows)
     rejecting = [r.seq for r in acting if r.action == "reject"]
     rejected = F.filter("failed_rules", lambda s: s.isin(rejecting) if rejecting else F.lit(False))

@@ -70,7 +70,10 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 def mark_events(df: DataFrame, value: str = "value", seq: str = "seq") -> DataFrame:
     """(value, seq, bri, action, fields, reason) of JSON texts; see ``parse_events``."""
-    event = F.from_json(value, f"action string, bri string, metadata {STRING_MAP}")
+    # Read as a list of events, text behind the first one shows.
+    listed = F.concat(F.lit("["), value, F.lit("]"))
+    events = F.from_json(listed, f"array<struct<action:string,bri:string,metadata:{STRING_MAP}>>")
+    event = F.when(F.size(events) == 1, F.get(events, F.lit(0)))
     parsed = df.select(F.col(value).alias("value"), F.col(seq).alias("seq"), event.alias("e"))
     action, fields = F.col("e.action"), F.col("e.metadata")
     bri = F.when(action == "delete", F.col("e.bri")).otherwise(F.element_at(fields, F.lit("bri")))
@@ -147,48 +150,45 @@ def fold_events(
 
 
 def images(
-    folded: DataFrame, fields: Sequence[str], key: str = "bri", seq: str = "seq"
+    folded: DataFrame, fields: Sequence[str] | None = None, key: str = "bri", seq: str = "seq"
 ) -> DataFrame:
     """(key, alive, life, last_seq, n_changes, fields): the last image of every key.
 
-    ``fields`` holds the fields present in the key's last life, each with its last value. All
-    aggregates combine on each task before the shuffle.
+    ``fields`` holds the fields present in the key's last life, each with its last value: all of
+    them, or only those that the caller names. Aggregates combine on each task before the shuffle.
     """
     applied = F.col("status") == "applied"
-    changes = applied & F.col("action").isin("create", "update")
-
-    def last_present(f: str) -> Column:
-        has = changes & F.map_contains_key("fields", f)
-        value = F.struct(F.col("life").alias("life"), F.element_at("fields", F.lit(f)).alias("value"))
-        return F.max_by(value, F.when(has, F.col(seq)))
-
-    grouped = folded.groupBy(key).agg(
+    whole = folded.groupBy(key).agg(
         F.max("life").alias("life"),
         F.max(F.when(applied & (F.col("action") == "delete"), F.col(seq))).alias("_gone"),
         F.max(seq).alias("last_seq"),
         F.count_if(applied).alias("n_changes"),
-        *[last_present(f).alias(f"_f{i}") for i, f in enumerate(fields)],
     )
-    entries = [
-        F.when(
-            F.col(f"_f{i}.life") == F.col("life"),
-            F.struct(F.lit(f).alias("key"), F.col(f"_f{i}.value").alias("value")),
-        )
-        for i, f in enumerate(fields)
-    ]
+    changes = folded.filter(applied & F.col("action").isin("create", "update"))
+    entries = changes.select(key, seq, "life", F.explode("fields").alias("_field", "_value"))
+    if fields is not None:
+        entries = entries.filter(F.col("_field").isin(list(fields)))
+    last = entries.groupBy(key, "_field").agg(
+        F.max_by(F.struct("life", F.struct(F.col("_field").alias("key"), F.col("_value").alias("value")).alias("e")),
+                 seq).alias("_last"))
+    # As many entries as the entity has fields.
+    held = last.groupBy(key).agg(F.collect_list("_last").alias("_last"))
+    joined = whole.join(held, key, "left")
+    own = F.filter("_last", lambda x: x["life"] == F.col("life"))
+    none = F.map_from_arrays(F.array(), F.array()).cast(STRING_MAP)
     alive = F.col("life").isNotNull() & (F.col("_gone").isNull() | (F.col("_gone") < F.col("life")))
-    return grouped.select(
+    return joined.select(
         key,
         alive.alias("alive"),
         "life",
         "last_seq",
         "n_changes",
-        F.map_from_entries(F.array_compact(F.array(*entries))).alias("fields"),
+        F.coalesce(F.map_from_entries(F.array_sort(F.transform(own, lambda x: x["e"]))), none).alias("fields"),
     )
 
 
 def current(
-    events: DataFrame, fields: Sequence[str], key: str = "bri", seq: str = "seq",
+    events: DataFrame, fields: Sequence[str] | None = None, key: str = "bri", seq: str = "seq",
     rows_per_group: int = ROWS_PER_GROUP,
 ) -> DataFrame:
     """The living keys and their images."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,10 @@ def column_dictionary(df: DataFrame) -> DataFrame:
 _PIECES = r"'[^'\\]*+(?:\\.[^'\\]*+)*+'|\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|[^'\"]++|['\"]"
 
 
+# A backslash that escapes something else than a quote, a backslash, a slash, one of b f n r t, or code numbers.
+UNKNOWN_ESCAPE = r"(?<!\\)(?:\\\\)*\\(?![\"'\\/bfnrt]|u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2})"
+
+
 def literal_to_json(text: Column) -> Column:
     """Literal text with None, True and False outside quotes rewritten for a JSON reader."""
 
@@ -56,11 +61,13 @@ def literal_to_json(text: Column) -> Column:
         for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
             plain = F.regexp_replace(plain, rf"\b{word}\b", json_word)
         quoted = piece.startswith("'") | piece.startswith('"')
-        return F.when(quoted, piece).otherwise(plain)
+        # \\xNN, of which JSON readers know nothing, as \\u00NN.
+        decoded = F.regexp_replace(piece, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+        return F.when(quoted, decoded).otherwise(plain)
 
     pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
     rewritten = F.array_join(F.transform(pieces, rewrite), "")
-    return F.when(text.rlike("None|True|False"), rewritten).otherwise(text)
+    return F.when(text.rlike(r"None|True|False|\\x"), rewritten).otherwise(text)
 
 
 def parse_records(
@@ -69,18 +76,20 @@ def parse_records(
     """(records, quarantine) of literal rows.
 
     records: the input columns, ``filename`` (the key parts joined by a dot) and ``record``,
-    a map of strings. Rows whose text is not a record are quarantined; text is only parsed,
-    never executed.
+    a map of strings. Rows whose text is not one record and no more, or holds an escape that
+    is not known, are quarantined; text is only parsed, never executed.
     """
     parts = [F.col(k) for k in key_columns]
     name = parts[0]
     for part in parts[1:]:
         name = F.concat(name, F.lit("."), part)
-    record = F.from_json(
-        literal_to_json(F.col(raw_column)),
-        "map<string,string>",
-        {"allowBackslashEscapingAnyCharacter": "true"},
+    # Read as a list of records, text behind the first one shows.
+    listed = F.concat(F.lit("["), literal_to_json(F.col(raw_column)), F.lit("]"))
+    records = F.from_json(
+        listed, "array<map<string,string>>", {"allowBackslashEscapingAnyCharacter": "true"}
     )
+    strange = F.col(raw_column).rlike(UNKNOWN_ESCAPE)
+    record = F.when((F.size(records) == 1) & ~strange, F.get(records, F.lit(0)))
     parsed = df.withColumn("filename", name).withColumn("record", record)
     good = F.col("record").isNotNull() & F.col("filename").isNotNull()
     return parsed.filter(good), parsed.filter(~good).drop("record")
@@ -98,6 +107,12 @@ def rebuild_table(records: DataFrame, filename: str, columns: Sequence[str]) ->
     return records.filter(F.col("filename") == filename).select(*values)
 
 
+def _folder(name: str) -> str:
+    """A table's name as one folder name: it can neither nest nor lead elsewhere."""
+    escaped = quote(name, safe=" ")
+    return escaped.replace(".", "%2E") if not escaped.strip(".") else escaped
+
+
 def write_tables(records: DataFrame, path: str) -> list[str]:
     """Write one CSV folder per table below ``path``; returns the table names.
 
@@ -113,7 +128,7 @@ def write_tables(records: DataFrame, path: str) -> list[str]:
         columns.setdefault(r["filename"], []).append(r["columnname"])
     for name, names in columns.items():
         rebuild_table(rows, name, names).write.mode("overwrite").option("header", True).csv(
-            f"{path}/{name}"
+            f"{path}/{_folder(name)}"
         )
     return list(columns)
 

@@ -128,6 +128,26 @@ def _constant(spark: SparkSession, value, dtype: T.DataType) -> Column:
     return F.lit(value)
 
 
+def _number(rule: Rule, name: str) -> float | None:
+    value = _optional(rule, name)
+    if isinstance(value, bool) or not isinstance(value, (int, float, type(None))):
+        raise RuleError(f"not a number: {value!r}")
+    return value
+
+
+def _check_default(spark: SparkSession, rule: Rule, dtype: T.DataType) -> None:
+    """A replacement must fit the column."""
+    default = rule.params.get("default")
+    if rule.action != "transform" or default is None:
+        return
+    probe = spark.range(1).select(F.lit(default).try_cast(dtype).isNull().alias("bad"))
+    if probe.first()["bad"]:
+        raise RuleError(f"not a {dtype.simpleString()}: {default!r}")
+
+
+UNORDERED = (T.MapType, T.VariantType)
+
+
 def _outside(spark, rule, value: Column, dtype, low, high) -> Column:
     strict = bool(rule.params.get("strict_bounds", False))
     strict_low = strict or bool(rule.params.get("strict_min", False))
@@ -159,15 +179,19 @@ def compile_rule(df: DataFrame, rule: Rule) -> Check:
     if rule.error is not None:
         return Check(rule, "error", error=rule.error)
     try:
-        return _compile(df, rule)
+        check = _compile(df, rule)
+        if check.unexpected is not None:
+            df.select(check.unexpected)  # analysed here, so that it fails here
+        return check
     except Exception as exc:  # a broken rule must not stop the others
         return Check(rule, "error", error=str(exc).splitlines()[0])
 
 
 def _compile(df: DataFrame, rule: Rule) -> Check:
     spark, kind = df.sparkSession, rule.rule_type
+    _number(rule, "mostly")
     if kind == "expect_table_row_count_to_be_between":
-        low, high = _optional(rule, "min_value"), _optional(rule, "max_value")
+        low, high = _number(rule, "min_value"), _number(rule, "max_value")
         return Check(rule, "count", low=low, high=high)
     if kind == "expect_table_column_count_to_equal":
         return Check(rule, "schema", success=len(df.columns) == int(_need(rule, "value")))
@@ -179,23 +203,28 @@ def _compile(df: DataFrame, rule: Rule) -> Check:
         raise RuleError(f"no such column: {name}")
     dtype, value = df.schema[name].dataType, F.col(f"`{name}`")
     text = value if isinstance(dtype, T.StringType) else value.cast("string")
+    _check_default(spark, rule, dtype)
 
     if kind == "expect_column_values_to_be_of_type":
         wanted = str(_need(rule, "type", "type_"))
         known = {dtype.simpleString(), type(dtype).__name__.lower(), dtype.typeName()}
         return Check(rule, "schema", success=wanted.lower() in known)
     if kind == "expect_column_null_count_to_be_between":
-        low, high = _optional(rule, "min_value"), _optional(rule, "max_value")
+        low, high = _number(rule, "min_value"), _number(rule, "max_value")
         return Check(rule, "count", unexpected=value.isNull(), low=low, high=high)
     if kind == "expect_column_values_to_not_be_null":
         return Check(rule, "rows", value.isNull(), over_all_rows=True)
     if kind == "expect_column_values_to_be_unique":
+        if isinstance(dtype, UNORDERED):
+            raise RuleError(f"values of type {dtype.simpleString()} cannot be compared")
         return Check(rule, "unique")
     if kind in ("expect_column_values_to_be_increasing", "expect_column_values_to_be_decreasing"):
         order, part = _names(_need(rule, "order_by")), _names(rule.params.get("partition_by"))
         absent = [c for c in (*order, *part) if c not in df.columns]
         if absent:
             raise RuleError(f"no such column: {absent[0]}")
+        if any(isinstance(df.schema[c].dataType, UNORDERED) for c in (name, *order, *part)):
+            raise RuleError("values of this type have no order")
         return Check(
             rule, "ordered", rising=kind.endswith("increasing"), order_by=order, partition_by=part
         )

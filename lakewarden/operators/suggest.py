@@ -20,9 +20,9 @@ from lakewarden.operators.rules import Rule
 from lakewarden.settings import small_frame
 
 # Fixed values.
-SAMPLE_SIZE = 1_000_000
 SAMPLE_SEED = 42
 LOW_CARDINALITY = 20
+NOT_NULL_SHARE = 0.95
 
 SUGGESTIONS = T.StructType(
     [
@@ -77,17 +77,18 @@ class _Suggestions:
 
 
 def suggest_rules(
-    df: DataFrame, table_name: str, sample_size: int = SAMPLE_SIZE
+    df: DataFrame, table_name: str, sample_size: int | None = None
 ) -> DataFrame:
     """Suggested rules of a table: per column, then the row count, then the unique key.
 
-    Tables above ``sample_size`` rows are profiled on a seeded sample. What reaches the
+    The whole table is profiled; only if the caller gives ``sample_size``, larger tables are
+    profiled on a seeded sample. What reaches the
     driver is one row of statistics and the values of columns with few distinct values.
     """
     spark = df.sparkSession
     total = df.count()
     sample = df
-    if total > sample_size:
+    if sample_size is not None and total > sample_size:
         sample = df.sample(fraction=sample_size / total, seed=SAMPLE_SEED)
     stats = wide_profile(sample).first().asDict()
     strings = [f.name for f in df.schema.fields if type_class(f.dataType) == "String"]
@@ -103,11 +104,10 @@ def suggest_rules(
     out = _Suggestions(table_name)
     for i, field in enumerate(df.schema.fields):
         name = field.name
-        filled = stats[f"c{i}"] / stats["n"] if stats["n"] else 0.0
         out.add(
             name, "not_null", "column_values_to_not_be_null",
             f"Values in {name} should not be null",
-            mostly=round(max(0.95, filled * 0.95), 2),
+            mostly=NOT_NULL_SHARE,
         )
         low, high = _plain(stats.get(f"lo{i}")), _plain(stats.get(f"hi{i}"))
         if is_numeric(field) and low is not None:

@@ -204,10 +204,10 @@ def annotate_spans(
             rows_per_group=rows_per_group,
             **limits,
         )
-        candidates = found.groupBy(id_column).agg(
+        candidates = found.groupBy(F.col(id_column).alias("_id")).agg(
             F.collect_list(F.struct("term", "label")).alias("_terms")
         )
-        joined = texts.join(candidates, id_column, "left").withColumn(
+        joined = texts.join(candidates, F.col(id_column).eqNullSafe(F.col("_id")), "left").withColumn(
             "_terms",
             F.concat(F.coalesce("_terms", F.array().cast("array<struct<term:string,label:string>>")),
                      F.filter(extra, lambda p: F.contains(content, p["term"]))),

@@ -179,7 +179,7 @@ def registry_stream(spark, folder):
     """The stream of JSON events, folded in micro-batches, ends in the same registry."""
     source, path = fresh_path(spark, "events"), fresh_path(spark, "registry")
     _event_lines(spark, folder).select("value").write.text(source)
-    run = stream_registry(file_events(spark, source), path, buckets=8, fields=_KEYS, once=True)
+    run = stream_registry(file_events(spark, source), path, buckets=8, once=True)
     run.awaitTermination()
     return _image(read_registry(spark, path))
 
@@ -188,7 +188,7 @@ def registry_stream(spark, folder):
 def registry_stream_changes(spark, folder):
     source, path = fresh_path(spark, "events"), fresh_path(spark, "registry")
     _event_lines(spark, folder).select("value").write.text(source)
-    run = stream_registry(file_events(spark, source), path, buckets=8, fields=_KEYS, once=True)
+    run = stream_registry(file_events(spark, source), path, buckets=8, once=True)
     run.awaitTermination()
     return read_changes(spark, path).select("bri", "seq", "status")
 
@@ -307,7 +307,7 @@ _EDGES = """(SELECT row_number() OVER (ORDER BY a, b) AS id, a AS input_bri, b A
     UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey, 'copy' FROM customer
     UNION ALL SELECT 'n' || s_nationkey, 's' || s_suppkey, 'copy' FROM supplier
     UNION ALL SELECT 'c' || o_custkey, 'o' || o_orderkey, 'load' FROM orders
-    UNION ALL SELECT DISTINCT 's' || l_suppkey, 'o' || l_orderkey, 'load' FROM lineitem WHERE l_returnflag = 'R'))"""
+    UNION ALL SELECT DISTINCT 's' || l_suppkey, 'o' || l_orderkey, 'load' FROM lineitem))"""
 
 
 def _edges(spark, folder):
@@ -316,7 +316,7 @@ def _edges(spark, folder):
             F.concat(F.lit(a), key).alias("input_bri"), F.concat(F.lit(b), to).alias("output_bri"),
             F.lit(kind).alias("movement_type"))
 
-    returned = read(spark, folder, "lineitem").filter("l_returnflag = 'R'").select(
+    supplied = read(spark, folder, "lineitem").select(
         F.concat(F.lit("s"), "l_suppkey").alias("input_bri"),
         F.concat(F.lit("o"), "l_orderkey").alias("output_bri"), F.lit("load").alias("movement_type"))
     plain = (
@@ -324,7 +324,7 @@ def _edges(spark, folder):
         .union(part("customer", "n", "c_nationkey", "c", "c_custkey", "copy"))
         .union(part("supplier", "n", "s_nationkey", "s", "s_suppkey", "copy"))
         .union(part("orders", "c", "o_custkey", "o", "o_orderkey", "load"))
-        .union(returned.distinct())
+        .union(supplied.distinct())
     )
     edges = numbered(plain, [], ["input_bri", "output_bri"], "id").withColumn("relationship_level", F.lit(1))
     path = fresh_path(spark, "edges")

@@ -31,6 +31,9 @@ def work_dir(spark: SparkSession) -> str:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakewarden-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

@@ -3,8 +3,10 @@
 Below the registry's folder:
 
 * ``state/batch=N/bucket=B``: one row per key of the buckets that batch N touched
-* ``manifest/batch=N``: for every bucket the batch that holds its present rows
-* ``changes/batch=N``: the events of the batch and what became of them
+* ``manifest/batch=N``: for every bucket the batch that holds its present rows, and the number of
+  buckets, which stays that of the first batch
+* ``changes/batch=N``: the events of the batch and what became of them; ``ignored_late`` came after
+  a later event of their key was folded
 * ``dead/batch=N``: texts that are no valid events
 
 A batch folds its events on top of the rows of the buckets it touches. Writing a batch again
@@ -13,14 +15,11 @@ gives the same files, because it starts from the manifest of the batch before it
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakewarden.operators.registry import (
-    ENTITY_FIELDS,
     STRING_MAP,
     fold_events,
     images,
@@ -31,14 +30,17 @@ from lakewarden.operators.skew import lookup_join
 from lakewarden.settings import ROWS_PER_GROUP
 
 STATE = "bri STRING, alive BOOLEAN, last_seq BIGINT, fields MAP<STRING,STRING>"
-MANIFEST = "bucket INT, held BIGINT"
+MANIFEST = "bucket INT, held BIGINT, buckets INT"
 
 
-def _held(spark: SparkSession, path: str, batch: int) -> dict[int, int]:
+def _held(spark: SparkSession, path: str, batch: int, buckets: int | None = None) -> dict[int, int]:
     """{bucket: batch} before the given batch; as many entries as there are buckets."""
     if batch == 0:
         return {}
     rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest/batch={batch - 1}").collect()
+    stored = {r["buckets"] for r in rows}
+    if buckets is not None and stored and stored != {buckets}:
+        raise ValueError(f"the registry at {path} has {stored.pop()} buckets, not {buckets}")
     return {r["bucket"]: r["held"] for r in rows}
 
 
@@ -54,7 +56,6 @@ def apply_batch(
     batch: int,
     path: str,
     buckets: int = 64,
-    fields: Sequence[str] = tuple(ENTITY_FIELDS),
     rows_per_group: int = ROWS_PER_GROUP,
 ) -> None:
     """Fold one batch of (value, seq) texts into the registry at ``path``."""
@@ -64,15 +65,17 @@ def apply_batch(
         events, dead = split_events(marked)
         bucket = F.pmod(F.xxhash64("bri"), F.lit(buckets)).cast("int")
         touched = {r[0] for r in events.select(bucket.alias("b")).distinct().collect()}
-        held = _held(spark, path, batch)
+        held = _held(spark, path, batch, buckets)
         old = _rows(spark, path, {b: n for b, n in held.items() if b in touched})
 
-        # Events at or before the last one applied were seen already.
+        # An event before the last one folded comes too late; one with the same number is that event again.
         marks = old.select("bri", "last_seq")
-        fresh = (
-            lookup_join(events, marks, ["bri"], "left", rows_per_group=rows_per_group)
-            .filter(F.col("last_seq").isNull() | (F.col("seq") > F.col("last_seq")))
-            .select("bri", "seq", "action", "fields", F.lit(False).alias("stored"))
+        marked_events = lookup_join(events, marks, ["bri"], "left", rows_per_group=rows_per_group)
+        fresh = marked_events.filter(F.col("last_seq").isNull() | (F.col("seq") > F.col("last_seq"))).select(
+            "bri", "seq", "action", "fields", F.lit(False).alias("stored")
+        )
+        late = marked_events.filter(F.col("seq") < F.col("last_seq")).select(
+            "bri", "seq", "action", "fields", F.lit("ignored_late").alias("status")
         )
         stored = old.select(
             "bri",
@@ -83,19 +86,21 @@ def apply_batch(
         )
         folded = fold_events(fresh.unionByName(stored), rows_per_group=rows_per_group).persist()
         changes = folded.filter(~F.col("stored")).select("bri", "seq", "action", "fields", "status")
+        changes = changes.unionByName(late)
         changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch}")
         dead.write.mode("overwrite").parquet(f"{path}/dead/batch={batch}")
-        state = images(folded, fields).select("bri", "alive", "last_seq", "fields", bucket.alias("bucket"))
+        state = images(folded).select("bri", "alive", "last_seq", "fields", bucket.alias("bucket"))
         # One file per bucket, rather than one per bucket and task.
         state.repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
             f"{path}/state/batch={batch}"
         )
         folded.unpersist()
         held.update({b: batch for b in touched})
-        entries = [F.struct(F.lit(b).alias("bucket"), F.lit(n).cast("bigint").alias("held"))
+        entries = [F.struct(F.lit(b).alias("bucket"), F.lit(n).cast("bigint").alias("held"),
+                            F.lit(buckets).alias("buckets"))
                    for b, n in sorted(held.items())]
         manifest = spark.range(1).select(
-            F.explode(F.array(*entries).cast("array<struct<bucket:int,held:bigint>>")).alias("e")
+            F.explode(F.array(*entries).cast("array<struct<bucket:int,held:bigint,buckets:int>>")).alias("e")
         )
         manifest.select("e.*").write.mode("overwrite").parquet(f"{path}/manifest/batch={batch}")
     finally:
@@ -106,7 +111,6 @@ def stream_registry(
     source: DataFrame,
     path: str,
     buckets: int = 64,
-    fields: Sequence[str] = tuple(ENTITY_FIELDS),
     once: bool = False,
     rows_per_group: int = ROWS_PER_GROUP,
     interval: str = "10 seconds",
@@ -117,7 +121,7 @@ def stream_registry(
     """
 
     def step(lines: DataFrame, batch: int) -> None:
-        apply_batch(lines, batch, path, buckets, fields, rows_per_group)
+        apply_batch(lines, batch, path, buckets, rows_per_group)
 
     writer = source.writeStream.foreachBatch(step).option("checkpointLocation", f"{path}/offsets")
     trigger = {"availableNow": True} if once else {"processingTime": interval}
