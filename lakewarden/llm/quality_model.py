@@ -5,7 +5,7 @@ signs), pairs of shapes, and whether a word repeats the one before. Each is hash
 text is a sparse vector of counts, scaled to a fixed length, and its score is the logistic function of the dot
 product. Labels, language, source and id are no features.
 
-Training reads a bounded sample of the labelled rows: the ``rows`` rows with the smallest hash of their id.
+Training reads a bounded sample of the labelled rows: at most ``ROWS``, those with the smallest hash of their id.
 Trainers work on parts of the sample side by side, and their weights are averaged.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.common import id_crc, pieces, text_bytes
+from lakewarden.llm.common import checkpointed, id_crc, pieces, sampled, text_bytes
 
 ROWS = 20_000
 BITS = 18
@@ -123,12 +123,10 @@ def fit(texts: list[bytes], labels: list[int], bits: int = BITS, rounds: int = 3
     return model.weights(slice(None)).astype(np.float32)
 
 
-def train(labelled: DataFrame, rows: int = ROWS, bits: int = BITS, rounds: int = 3, trainers: int = 4) -> np.ndarray:
-    """The averaged weights, from (id, text, label): rows with a NULL label are left out, a NULL text is empty.
-    Without labelled rows all weights are zero."""
-    known = labelled.filter("label IS NOT NULL").withColumn("_at", F.xxhash64(F.col("id").cast("string"), F.lit(rows)))
-    sample = known.orderBy("_at", "id", F.xxhash64("text")).limit(rows)
-    dealt = sample.repartition(trainers, F.pmod(F.col("_at"), F.lit(trainers)))
+def train(sample: DataFrame, bits: int = BITS, rounds: int = 3, trainers: int = 4) -> np.ndarray:
+    """The averaged weights, from (text, label, at): a NULL text is empty, ``at`` deals the rows to trainers.
+    Without rows all weights are zero."""
+    dealt = sample.repartition(trainers, F.pmod(F.col("at"), F.lit(trainers)))
 
     def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, labels = [], []
@@ -164,13 +162,18 @@ def score_column(text: Column, df: DataFrame, weights: np.ndarray, bits: int = B
     return F.arrow_udf(scores, T.DoubleType())(text)
 
 
-def model_of(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, **options) -> np.ndarray:
-    """Train on the labelled documents whose crc32 of the id is not ``held_out`` modulo ``folds``. Of several
-    labels of one id, the lowest counts."""
-    known = labels.filter("quality IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("label"))
+def model_of(
+    docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, rows: int = ROWS, **options
+) -> np.ndarray:
+    """Train on the labelled documents whose crc32 of the id is not ``held_out`` modulo ``folds``, at most
+    ``rows`` labels of them. Of several labels of one id, the lowest counts. NULL ids and labels are left out."""
+    known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
+    known = known.groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("label"))
     known = known.filter(F.pmod(id_crc(F.col("id")), F.lit(folds)) != held_out)
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"))
-    return train(texts.join(known, "id"), **options)
+    # At most ``rows`` labels are sent to the documents.
+    few = F.broadcast(sampled(checkpointed(known), rows, "id"))
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text")).join(few, "id")
+    return train(texts.select("text", "label", F.xxhash64("id").alias("at")), **options)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
