@@ -1,0 +1,477 @@
+"""Operators against brute force, on the smallest tables and on made-up texts."""
+
+import collections
+import itertools
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+
+from lakewarden.llm import (
+    common,
+    decontamination,
+    language_model,
+    licenses,
+    mixing,
+    quality_model,
+    quality_rules,
+    secrets,
+    sharding,
+    simhash,
+    token_counts,
+)
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+# --- near copies ---------------------------------------------------------------------------------------------
+
+
+def slow_fingerprint(text):
+    words = text.encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_classes(fps, distance=3):
+    parent = list(range(len(fps)))
+
+    def find(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+
+    for i, j in itertools.combinations(range(len(fps)), 2):
+        if (fps[i] ^ fps[j]).bit_count() <= distance:
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(fps))]
+
+
+def test_simhash_classes(docs, texts):
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    ids = sorted(texts)
+    fps = [slow_fingerprint(texts[i]) for i in ids]
+    assert [got[i].fingerprint for i in ids] == [f"{x:016x}" for x in fps]
+    assert [got[i].component_id for i in ids] == [ids[c] for c in slow_classes(fps)]
+    kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert kept == {r.component_id for r in got.values()}
+
+
+def test_fingerprint_of_pieces(monkeypatch):
+    text = " ".join(f"w{i * i}" for i in range(5000)).encode()
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "pieces", lambda t: common.pieces(t, 1000))
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 100)
+    assert simhash.fingerprint(text) == whole == slow_fingerprint(text.decode())
+
+
+@pytest.mark.parametrize("most", [4, 64, 4096])
+def test_simhash_links_in_crowded_cells(spark, most):
+    """A ball of near fingerprints, chains, and random ones; with small limits, over all ways to cut cells."""
+    rng = random.Random(3)
+    centre, fps = rng.getrandbits(64), set()
+    while len(fps) < 150:
+        x = centre
+        for _ in range(rng.randint(0, 7)):
+            x ^= 1 << rng.randrange(64)
+        fps.add(x)
+    x = rng.getrandbits(64)
+    for b in rng.sample(range(64), 40):  # a chain
+        x ^= 1 << b
+        fps.add(x)
+    fps |= {rng.getrandbits(64) for _ in range(200)}
+    fps = sorted(fps, key=lambda v: v - (1 << 64) if v >> 63 else v)
+    frame = spark.createDataFrame([(i, simhash.signed(v)) for i, v in enumerate(fps)], "id long, fp long")
+    got = {r.fp: r.component_id for r in simhash.classes(frame, most=most).collect()}
+    assert [got[simhash.signed(v)] for v in fps] == slow_classes(fps)
+
+
+def test_manhattan_is_a_lower_bound():
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, 1 << 63, 2000, np.uint64) * 2 + 1 for _ in range(2))
+    counts = lambda v: np.stack([np.bitwise_count(v >> np.uint64(2 * i) & np.uint64(3)) for i in range(32)]).astype(int)
+    manhattan = np.abs(counts(a) - counts(b)).sum(axis=0)
+    assert (np.bitwise_count(simhash.vectors(a) ^ simhash.vectors(b)) == manhattan).all()
+    assert (manhattan <= np.bitwise_count(a ^ b)).all()
+
+
+# --- benchmark leaks -----------------------------------------------------------------------------------------
+
+
+def edits_of(item, words):
+    """Least edits between the item and any run of the words (semi-global)."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(words, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_leaks_by_brute_force(spark):
+    """Items planted with random edits: every document within the bound is found, no other is."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.randint(13, 50))] for _ in range(30)]
+    docs = []
+    for d in range(240):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(0, 120))]
+        item = list(rng.choice(items))
+        for _ in range(rng.randint(0, int(0.3 * len(item)))):
+            at, kind = rng.randrange(len(item)), rng.random()
+            if kind < 0.4:
+                item[at] = rng.choice(vocabulary)
+            elif kind < 0.7:
+                del item[at]
+            else:
+                item.insert(at, rng.choice(vocabulary))
+        at = rng.randint(0, len(words))
+        docs.append((d, " ".join(words[:at] + item + words[at:])))
+    matcher_items = [(i, " ".join(x)) for i, x in enumerate(items)]
+    want = set()
+    for d, t in docs:
+        for i, x in enumerate(items):
+            if edits_of(x, t.split()) <= decontamination.allowed(len(x), 0.2):
+                want.add((d, i))
+    got = decontamination.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(matcher_items, "item_id long, text string"),
+    ).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert found <= want
+    assert len(found) >= 0.99 * len(want) and len(want) > 100
+    for r in got:
+        run = docs[r.doc_id][1].split()[r.first_word : r.last_word + 1]
+        assert edits_of(items[r.item_id], run) <= r.edits
+
+
+def test_leaks_in_blocks_agree(spark, docs):
+    benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    key = lambda r: (r.doc_id, r.item_id, r.first_word)
+    one = sorted(map(key, decontamination.find_leaks(docs, benchmark).collect()))
+    many = sorted(map(key, decontamination.find_leaks(docs, benchmark, block_bytes=2000).collect()))
+    assert one == many and one
+    left = {r.doc_id for r in decontamination.clean(docs, benchmark).collect()}
+    assert left == {r.doc_id for r in docs.collect()} - {d for d, _, _ in one}
+
+
+# --- language model ------------------------------------------------------------------------------------------
+
+
+def test_language_model(docs, texts):
+    got = {r.doc_id: r for r in language_model.score_documents(docs, known=500, trainers=4).collect()}
+    counts = collections.Counter()
+    for i, t in texts.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update(t.encode().lower().split())
+            counts[b"\n"] += 1
+    n, v = sum(counts.values()), len(counts)
+    for i, t in texts.items():
+        words = [*t.encode().lower().split(), b"\n"]
+        r = got[i]
+        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words), rel=1e-9)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(counts[w] > 0 for w in words), n)
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 7 == 2)
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_probabilities_add_up():
+    rng = np.random.default_rng(2)
+    model = language_model.Model.start(np.full(10, 0.1))
+    model.values += rng.normal(0, 1, len(model.values)).astype(np.float32)
+    chances = np.exp(model.log_probabilities(np.arange(10), np.arange(10)[::-1]))
+    assert np.allclose(chances.sum(axis=1), 1, atol=1e-5)
+
+
+def test_noise_contrast_learns_a_distribution():
+    """After one class always comes another: the model finds it without ever normalising."""
+    k = language_model.CLASSES
+    frequency = np.full(k, 1 / k)
+    codes = np.array([(0 * k + c) * k + (c + 1) % k for c in range(k)], np.int64)
+    model = language_model.Model.start(frequency)
+    model.learn(codes, np.ones(k), frequency, 0.3, 400_000, 1)
+    right = model.log_probabilities(np.zeros(k, int), np.arange(k))[np.arange(k), (np.arange(k) + 1) % k]
+    assert np.exp(right).mean() > 0.5
+
+
+# --- quality -------------------------------------------------------------------------------------------------
+
+
+def test_quality_held_out(spark):
+    base = DATA.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
+    scores = quality_model.score_documents(docs, labels)
+    rows = scores.join(labels, "doc_id").filter("held_out").collect()
+    good, bad = [r.score for r in rows if r.quality == 1], [r.score for r in rows if r.quality == 0]
+    assert np.mean([a > b for a in good for b in bad]) > 0.97
+    assert np.mean([x >= 0.3 for x in good]) > 0.97
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    # A text is scored alone: other rows do not matter.
+    assert all(r.predicted == int(r.score >= 0.3) for r in scores.collect())
+
+
+def test_follow_the_leader_keeps_few_weights():
+    model = quality_model.Leader(bits=10)
+    rng = np.random.default_rng(0)
+    for _ in range(500):
+        label = int(rng.random() < 0.5)
+        index = np.unique(np.r_[label, rng.integers(2, 1024, 5)])
+        model.learn(index, np.ones(len(index)), label)
+    w = model.weights(slice(None))
+    assert w[1] > 0.5 and w[0] < -0.5
+
+
+def test_rules_base(docs, texts):
+    for r in quality_rules.judge(docs).collect():
+        t = texts[r.doc_id]
+        words = WORD.findall(t)
+        windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+        count = collections.Counter(windows)
+        covered = {j for i, w in enumerate(windows) if count[w] > 1 for j in range(i, i + 8)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols) == (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)))
+        assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(covered))
+        assert r.base_failed == (len(words) < 20 or 100 * len(covered) > 30 * len(words))
+        assert not (r.base_failed and r.kept)
+
+
+def test_robust_estimate(spark):
+    """A quarter of the rows lies far off; location and distances follow the others."""
+    rng = np.random.default_rng(4)
+    mix = rng.normal(0, 1, (5, 5))
+    core = rng.normal(0, 1, (1500, 5)) @ mix + 3
+    off = rng.normal(0, 0.3, (300, 5)) + 40
+    rows = [("g", *map(float, x)) for x in np.r_[core, off]]
+    frame = spark.createDataFrame(rows, "cell string, x0 double, x1 double, x2 double, x3 double, x4 double")
+    found, _ = quality_rules.estimate(frame.cache())
+    r = found.first()
+    assert np.allclose([r[f"m{i}"] for i in range(5)], core.mean(axis=0), atol=0.4)
+    at = frame.join(found, "cell").withColumn("d", quality_rules._squared_distance() / quality_rules.F.col("scale"))
+    d = np.array([x.d for x in at.select("x0", "d").collect() if x.x0 < 20])
+    far = [x.d for x in at.select("x0", "d").collect() if x.x0 >= 20]
+    assert (d < quality_rules.LIMIT).mean() > 0.98 and min(far) > quality_rules.LIMIT
+
+
+# --- mix, shards, counts -------------------------------------------------------------------------------------
+
+
+def test_nearest_sum():
+    rng = random.Random(1)
+    for _ in range(300):
+        sizes = rng.sample(range(1, 14), 4)
+        counts = [rng.randint(0, 3) for _ in sizes]
+        budget = rng.randint(0, 40)
+        sums = {sum(map(int.__mul__, n, sizes)) for n in itertools.product(*[range(c + 1) for c in counts])}
+        for over in (True, False):
+            best = min(sums if over else {s for s in sums if s <= budget}, key=lambda s: (abs(s - budget), s))
+            taken = mixing.nearest_sum(sizes, counts, budget, over)
+            assert sum(map(int.__mul__, taken, sizes)) == best and all(t <= c for t, c in zip(taken, counts))
+
+
+def test_fit_of_large_budgets():
+    rng = np.random.default_rng(9)
+    sizes = np.unique(rng.integers(1, 9000, 400))
+    counts = rng.integers(1, 60, len(sizes))
+    total = int(sizes @ counts)
+    for share in (0.01, 0.3, 0.77, 0.999):
+        taken = mixing.fit(sizes, counts, int(total * share))
+        assert (taken <= counts).all() and abs(int(sizes @ taken) - int(total * share)) <= 1
+
+
+def slow_targets(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    total, target, free = sum(sizes.values()), {}, set(names)
+    while free:
+        left = total - sum(target.values())
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > 3 * sizes[s]}
+        if not over:
+            return target | {s: weight[s] * level for s in free}
+        target |= {s: 3.0 * sizes[s] for s in over}
+        free -= over
+    return target
+
+
+def test_mix(spark, docs, texts):
+    more = docs.withColumn("source", mixing.F.expr("CASE WHEN doc_id < 4 THEN NULL WHEN doc_id < 7 THEN 'tiny' ELSE source END"))
+    source = {r.doc_id: r.source for r in more.collect()}
+    size = {i: len(WORD.findall(t)) for i, t in texts.items()}
+    sums = collections.Counter()
+    for i, s in source.items():
+        sums[s] += size[i]
+    want = slow_targets(sums)
+    got = mixing.mix_documents(more).collect()
+    taken = collections.Counter()
+    for r in got:
+        s = source[r.doc_id]
+        assert (r.size, r.source_size) == (size[r.doc_id], sums[s]) and r.target == pytest.approx(want[s])
+        assert r.taken % max(1, r.size) == 0 and r.taken <= 3 * r.size
+        taken[s] += r.taken
+    for s, t in want.items():  # as near as any choice of documents can come
+        mine = [size[i] for i in source if source[i] == s]
+        whole = min(3, int(t // sums[s])) * sums[s]
+        rest = round(t - whole) if whole < 3 * sums[s] else 0
+        near = min(abs(sum(c) - rest) for k in range(len(mine) + 1) for c in itertools.combinations(mine, k))
+        assert abs(taken[s] - whole - rest) == near, (s, t, taken[s])
+    repeats = collections.Counter(r.doc_id for r in mixing.take(more).collect())
+    assert repeats == collections.Counter({r.doc_id: r.times for r in got if r.times})
+
+
+def test_numbered_in_buckets(spark):
+    rows = spark.range(5000).selectExpr("id", "IF(id < 3000, 'hot', CAST(id % 50 AS STRING)) AS k")
+    rows = rows.withColumn("at", common.position(common.F.col("id")))
+    got = common.numbered(rows, ["k"], "at", ["id"], "n", rows=100).collect()
+    for k in {r.k for r in got}:
+        mine = sorted((r.at, r.id, r.n) for r in got if r.k == k)
+        assert [n for _, _, n in mine] == list(range(len(mine)))
+
+
+def test_shards(spark, docs):
+    got = sharding.shard_documents(docs, 5).collect()
+    size = collections.Counter()
+    for r in got:
+        size[r.shard] += r.size
+    mean, largest = sum(size.values()) / 5, max(r.size for r in got)
+    assert set(size) == set(range(5)) and all(abs(s - mean) <= largest + mean / 10 for s in size.values())
+    assert sorted(map(str, got)) == sorted(map(str, sharding.shard_documents(docs.repartition(7), 5).collect()))
+
+
+def test_shards_keep_copies_together(spark):
+    rows = [(i, f"text {i // 4} " + "x" * (i // 4 % 50), "en", f"s{i % 3}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = sharding.shard_documents(docs, 6).collect()
+    shards, size = collections.defaultdict(set), collections.Counter()
+    for r in got:
+        shards[r.doc_id // 4].add(r.shard)
+        size[r.shard] += r.size
+    assert all(len(s) == 1 for s in shards.values())
+    assert max(size.values()) < 1.05 * min(size.values())
+    one = docs.withColumn("text", sharding.F.lit("all the same"))  # copies of one text fill all shards
+    size = collections.Counter(r.shard for r in sharding.shard_documents(one, 6).collect())
+    assert len(size) == 6 and max(size.values()) < 1.1 * min(size.values())
+
+
+def test_token_totals(docs, texts):
+    import public_tokenizers
+
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    tokenizer = token_counts.encoding(path, public_tokenizers.PATTERN)
+    source = {r.doc_id: r.source for r in docs.collect()}
+    length = {i: len(tokenizer.encode_ordinary(t)) for i, t in texts.items()}
+    assert all(tokenizer.decode(tokenizer.encode_ordinary(t)) == t for t in list(texts.values())[:50])
+    for r in token_counts.length_totals(docs).collect():
+        mine = [n for i, n in length.items() if r.scope == "all" or source[i] == r.source]
+        assert r.n_docs == mine.count(r.length) and r.docs_up_to == sum(n <= r.length for n in mine)
+        assert r.truncated_total == sum(min(n, r.length) for n in mine)
+        assert r.tokens_up_to == sum(n for n in mine if n <= r.length)
+        assert r.truncated_total + r.lost == sum(mine) and r.docs_up_to + r.docs_beyond == len(mine)
+    counts = token_counts.histogram(docs)
+    for r in token_counts.at_limits(counts, [0, 100, 10**6]).collect():
+        assert r.truncated_total == sum(min(n, r.limit) for i, n in length.items() if source[i] == r.source)
+    assert token_counts.quantile(counts, 0.5) == sorted(length.values())[(len(length) + 1) // 2 - 1]
+
+
+# --- licenses, secrets ---------------------------------------------------------------------------------------
+
+
+def test_notices_with_edits():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    rng = random.Random(8)
+    for t, (name, text) in enumerate(licenses.TEMPLATES):
+        words = text.split()
+        if len(words) > 20:  # one word in ten differs
+            words = [w if rng.random() > 0.1 else "other" for w in words]
+        body = [f"v{rng.randrange(99)}" for _ in range(30)]
+        doc = " ".join([*body, *words, *body]).encode()
+        found = scanner.notices(doc)
+        assert [scanner.names[h[0]] for h in found] == [name]
+        template, coverage, matched, first, last = found[0]
+        assert abs(first - 30) <= 3 and coverage > 0.75 and matched <= len(licenses.words_of(text.encode()))
+    assert scanner.notices(b"the license of the work is public and general") == []
+
+
+def test_winnowing_guarantee():
+    rng = np.random.default_rng(6)
+    hashes = rng.integers(0, 1 << 62, 300, np.uint64)
+    chosen = set(licenses.winnow(hashes, 4).tolist())
+    assert all(chosen & set(range(i, i + 4)) for i in range(297))
+
+
+def test_notice_spans(docs, texts):
+    plain = [t for _, t in licenses.TEMPLATES if len(t.split()) < 13]
+    want = {(i, m.start(), m.end()) for i, t in texts.items() for p in plain for m in re.finditer(re.escape(p), t)}
+    got = {(r.doc_id, r.start_char, r.end_char) for r in licenses.scan(docs).collect()}
+    assert want and want <= got
+
+
+def test_secrets(spark):
+    base = DATA.replace("0.001", "0.1")
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    got = secrets.scan(docs).collect()
+    planted = {
+        (i, m.start(1)) for i, t in text.items() for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', t)
+    }
+    assert planted and planted == {(r.doc_id, r.start_char) for r in got if r.is_secret and len(r.candidate) == 40}
+    pattern = re.compile(secrets.CANDIDATE)
+    assert {(i, m.start(), m.end()) for i, t in text.items() for m in pattern.finditer(t)} == {
+        (r.doc_id, r.start_char, r.end_char) for r in got
+    }
+    assert not any(r.is_secret for r in got if r.candidate.isdigit() or "example.com" in r.candidate)
+
+
+def test_forest_learns_from_labels(spark):
+    """Labels decide, not the built-in rules: here numbers are the secrets."""
+    docs = spark.createDataFrame(
+        [(i, f"id {10**16 + i * 7919} and mail{i % 7}.example.com{'x' * (i % 5)}9") for i in range(300)],
+        "doc_id long, text string",
+    )
+    found = secrets.features(secrets.candidates(docs), secrets.dictionary(docs))
+    labelled = found.withColumn("label", secrets.F.col("candidate").rlike("^[0-9]+$").cast("double"))
+    got = secrets.scan(docs, labelled).collect()
+    assert len(got) == 600 and all(r.is_secret == r.candidate.isdigit() for r in got)
+
+
+# --- the pipeline --------------------------------------------------------------------------------------------
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    base = DATA.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{base}/labels.parquet").collect()}
+    out = corpus_pipeline.run(spark, base).collect()
+    ids = {r.doc_id for r in out}
+    kept = quality_model.keep_good(docs, spark.read.parquet(f"{base}/labels.parquet"))
+    assert sum(labels.get(r.doc_id) == 1 for r in kept.collect()) >= 0.97 * sum(v == 1 for v in labels.values())
+    assert max(collections.Counter(r.doc_id for r in out).values()) <= 3
+    classes = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert len({classes[i] for i in ids}) == len(ids)
+    leaks = decontamination.find_leaks(docs, spark.read.parquet(f"{base}/benchmark.parquet")).collect()
+    assert not ids & {r.doc_id for r in leaks}
+    assert {r.shard for r in out} <= set(range(40))
