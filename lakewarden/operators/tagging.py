@@ -22,6 +22,11 @@ def normal(value: Column) -> Column:
     return F.lower(F.trim(value))
 
 
+def capitalized(value: Column) -> Column:
+    """The first letter as a capital, all others small."""
+    return F.concat(F.upper(F.left(value, F.lit(1))), F.lower(F.substr(value, F.lit(2))))
+
+
 def labels_by_term(gazetteer: DataFrame) -> DataFrame:
     """(term, labels): one row per normalised term of a (term, label) gazetteer."""
     return (

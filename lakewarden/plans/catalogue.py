@@ -30,4 +30,4 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 # The modules that register queries.
-MODULES = ["quality", "profiling", "text", "registry"]
+MODULES = ["quality", "profiling", "text", "registry", "storage"]
