@@ -134,7 +134,9 @@ def train(sample: DataFrame, bits: int = BITS, rounds: int = 3, trainers: int =
             texts += text_bytes(batch.column(0))
             labels += batch.column(1).to_pylist()
         if texts:
-            weights = fit(texts, labels, bits, rounds)
+            # In an order of their own, whichever way they arrived: reruns give the same weights.
+            texts, labels = zip(*sorted(zip(texts, labels)))
+            weights = fit(list(texts), list(labels), bits, rounds)
             yield pa.record_batch(
                 [pa.array([len(texts)], pa.int64()), pa.array([weights.tobytes()], pa.binary())], ["n", "weights"]
             )
