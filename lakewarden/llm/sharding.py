@@ -182,15 +182,19 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def with_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents with their shard and slot: texts are moved once, to meet their number."""
+    """The documents with their shard and slot. Rows that agree in id and text have neighbouring slots; texts are
+    moved once, to meet them."""
     columns = docs.columns
-    same = Window.partitionBy("_k", "_t").orderBy("_k")
-    placed = assign(rows_of(docs, shards), shards).select("_k", "_t", "shard", "slot")
-    placed = placed.withColumn("_i", F.row_number().over(same))
+    rows = rows_of(docs, shards)
+    tree = grow(rows, shards)
+    placed = rows.withColumn("shard", _route(tree, {id(n): n.first for n in _leaves(tree)}).cast("int"))
+    placed = placed.groupBy("_k", "_t").agg(F.min("shard").alias("shard"), F.count(F.lit(1)).alias("_n"))
+    placed = placed.withColumn("_at", position("_k", "_t"))
+    placed = numbered(placed, ["shard"], "_at", ["_k", "_t"], "slot", weight="_n")
     keyed = docs.toDF(*[f"c{i}" for i in range(len(columns))])
-    id, text = F.col(f"c{columns.index('doc_id')}"), F.col(f"c{columns.index('text')}")
-    keyed = keyed.withColumns(
-        {"_k": F.xxhash64(id), "_t": F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))}
-    ).withColumn("_i", F.row_number().over(same))
-    out = keyed.join(placed, ["_k", "_t", "_i"]).drop("_k", "_t", "_i")
+    key, text = F.col(f"c{columns.index('doc_id')}"), F.col(f"c{columns.index('text')}")
+    keyed = keyed.withColumns({"_k": F.xxhash64(key), "_t": F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))})
+    same = Window.partitionBy("_k", "_t").orderBy("_k")
+    out = keyed.join(placed.drop("_n", "_at"), ["_k", "_t"])
+    out = out.withColumn("slot", F.col("slot") + F.row_number().over(same) - 1).drop("_k", "_t")
     return out.toDF(*columns, *[c if c not in columns else f"shard_{c}" for c in ("shard", "slot")])
