@@ -7,7 +7,8 @@ text. A NULL id is the empty string where an id is hashed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +24,19 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def clean_worker() -> Callable[[], None]:
+    """For the first call in a task: frees what earlier tasks of the same Python worker left in reference cycles
+    (functions sent by value hold their tables and caches)."""
+    done: list[bool] = []
+
+    def clean() -> None:
+        if not done:
+            gc.collect()
+            done.append(True)
+
+    return clean
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as bytes; NULL is empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
@@ -30,6 +44,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Batches of few rows, so that long texts are not all unpacked at once."""
+    gc.collect()  # see clean_worker
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.common import pieces, slices, text_bytes
+from lakewarden.llm.common import clean_worker, pieces, slices, text_bytes
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 HITS = "doc_id long, item_id long, first_word int, last_word int, edits int, item_words int"
@@ -81,7 +81,7 @@ class Matcher:
         lengths = sorted({len(w) for w in words if w})
         rng = np.random.default_rng(seed)
         # A random bit for each walk, step and slot of words; two steps per word on average.
-        self.moves = rng.integers(0, 2, (walks, 2 * max(lengths, default=1), SLOTS), np.int64)
+        self.moves = rng.integers(0, 2, (walks, 2 * max(lengths, default=1), SLOTS), np.int8)
         # Per item length and walk: samples x width positions in the walk's output.
         self.picks = {n: rng.integers(0, max(1, 2 * n - n // 4), (walks, samples, width)) for n in lengths}
         self.index = {n: self._index([i for i, w in enumerate(words) if len(w) == n], n) for n in lengths}
@@ -304,8 +304,10 @@ def leak_column(text: Column, docs: DataFrame, benchmark: DataFrame, share: floa
 
 def _flags(sent: Broadcast):
     built: list[Matcher] = []
+    clean = clean_worker()
 
     def search(column: pa.Array) -> pa.Array:
+        clean()
         if not built:
             built.append(Matcher(*sent.value))
         parts = (text_bytes(column.slice(at, 512)) for at in range(0, len(column), 512))

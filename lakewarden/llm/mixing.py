@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import checkpointed, numbered, pieces, position, table_of, text_bytes
+from lakewarden.llm.common import checkpointed, clean_worker, numbered, pieces, position, table_of, text_bytes
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -33,8 +33,11 @@ PLAN = "source string, size long, whole int, chosen long"
 def size_column(text: Column) -> Column:
     """The number of words."""
 
+    clean = clean_worker()
+
     @F.arrow_udf("long")
     def sizes(column: pa.Array) -> pa.Array:
+        clean()
         out = []
         for at in range(0, len(column), 512):
             out += [sum(len(p.split()) for p in pieces(t)) for t in text_bytes(column.slice(at, 512))]

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.common import checkpointed, id_crc, pieces, sampled, text_bytes
+from lakewarden.llm.common import checkpointed, clean_worker, id_crc, pieces, sampled, text_bytes
 
 ROWS = 20_000
 BITS = 18
@@ -32,7 +32,7 @@ SHAPES = bytes(
     48 if 48 <= c < 58 else 65 if 65 <= c < 91 else 97 if 97 <= c < 123 or c > 127 else c for c in range(256)
 )
 RUNS = re.compile(rb"(.)\1+", re.S)
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 16
 
 
 class _Words(dict):
@@ -155,9 +155,10 @@ def score(text: bytes, weights: np.ndarray, bits: int = BITS) -> float:
 
 
 def score_column(text: Column, df: DataFrame, weights: np.ndarray, bits: int = BITS) -> Column:
-    sent = df.sparkSession.sparkContext.broadcast(weights)
+    sent, clean = df.sparkSession.sparkContext.broadcast(weights), clean_worker()
 
     def scores(column: pa.Array) -> pa.Array:
+        clean()
         parts = (text_bytes(column.slice(at, 512)) for at in range(0, len(column), 512))
         return pa.array([score(t, sent.value, bits) for part in parts for t in part], pa.float64())
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import checkpointed, pieces, table_of, text_bytes
+from lakewarden.llm.common import checkpointed, clean_worker, pieces, table_of, text_bytes
 
 SEED = 42
 SEGMENT = 2
@@ -62,8 +62,11 @@ def _add_bits(counts: np.ndarray, hashes: list[int]) -> int:
 def fingerprint_column(text: Column, shingle: int = 3) -> Column:
     """The fingerprint as a (signed) long."""
 
+    clean = clean_worker()
+
     @F.arrow_udf("long")
     def fingerprints(column: pa.Array) -> pa.Array:
+        clean()
         got = []
         for at in range(0, len(column), 512):
             got += [fingerprint(t, shingle) for t in text_bytes(column.slice(at, 512))]

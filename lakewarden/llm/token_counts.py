@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import checkpointed
+from lakewarden.llm.common import checkpointed, clean_worker
 
 BLOCK = 512
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -39,8 +39,11 @@ def length_column(text: Column, path: str | None = None, pattern: str = public_t
     """The number of tokens of a text; NULL is empty. Strings of special tokens are ordinary text."""
     path = path or public_tokenizers.path(VOCABULARY)
 
+    clean = clean_worker()
+
     @F.arrow_udf("long")
     def lengths(column: pa.Array) -> pa.Array:
+        clean()
         tokenizer = encoding(path, pattern)
         return pa.array([len(tokenizer.encode_ordinary(t.as_py() or "")) for t in column], pa.int64())
 
