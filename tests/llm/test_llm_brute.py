@@ -198,6 +198,29 @@ def test_leaks_by_brute_force(spark):
         assert edits_of(items[r.item_id], run) <= r.edits
 
 
+@pytest.mark.parametrize("n", [4, 13, 25, 59, 100, 200, 400])
+def test_leaks_at_the_bound(n):
+    """Items of every length with exactly as many edits as are allowed: all are found, with the least edits."""
+    rng, k = random.Random(n), decontamination.allowed(n, 0.2)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for _ in range(40)]
+    matcher = decontamination.Matcher([(i, " ".join(x).encode()) for i, x in enumerate(items)], 0.2, 4, 8, 3, 7)
+    for i, x in enumerate(items):
+        run = list(x)
+        for e, at in enumerate(sorted(rng.sample(range(n), k), reverse=True)):
+            if e % 3 == 0:
+                run[at] = "other"
+            elif e % 3 == 1:
+                del run[at]
+            else:
+                run.insert(at, "other")
+        around = [f"w{rng.randrange(3000)}" for _ in range(60)]
+        text = [*around[:30], *run, *around[30:]]
+        found = {h[0]: h for h in matcher.search(" ".join(text).encode())}
+        assert i in found
+        if i < 5:
+            assert found[i][3] == edits_of(x, text)
+
+
 def test_leaks_in_blocks_agree(spark, docs):
     benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
     key = lambda r: (r.doc_id, r.item_id, r.first_word)
