@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm import (
     decontamination,
+    filter_audit,
     language_model,
     licenses,
     merkle,
@@ -150,3 +151,41 @@ SELECT p.doc_id, p.leaf, t.h AS subroot, o.h AS root, sha256(w.proof) AS proof_s
 FROM placed p JOIN tops t ON p.lang IS NOT DISTINCT FROM t.lang
     JOIN whole w ON w.lang IS NOT DISTINCT FROM p.lang AND w.start = p.pos AND w.n = 1
     JOIN over_all o ON o.n = 1"""
+
+
+@query
+def op13_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove, at every place of all their orders, per language."""
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+SQL["op13_filter_interactions"] = r"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts),
+marks AS (SELECT doc_id, max(quality) FILTER (quality = 1) AS good, max(toxic) FILTER (toxic = 1) AS toxic
+    FROM labels GROUP BY doc_id),
+failed AS (SELECT w.part, count(*) AS n, count(m.good) AS good, count(m.toxic) AS toxic,
+        CASE WHEN len(w) < 100 THEN 'A' ELSE '' END ||
+        CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END ||
+        CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END ||
+        CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END ||
+        CASE WHEN first < w.doc_id THEN 'E' ELSE '' END AS fails
+    FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM words) w LEFT JOIN marks m USING (doc_id)
+    GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS above
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+cases AS (SELECT part, filter_order, step, x, n, good, toxic, fails, contains(fails, x) AS here,
+        above <> '' AND regexp_matches(fails, '[' || above || '-]') AS gone
+    FROM failed, steps),
+counted AS (SELECT part, filter_order, step::INT AS step, x,
+        coalesce(sum(n) FILTER (NOT here AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (here AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (here AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (fails = x), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (here AND NOT gone), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (here AND NOT gone), 0)::BIGINT AS toxic_lost
+    FROM cases GROUP BY part, filter_order, step, x)
+SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM counted"""
