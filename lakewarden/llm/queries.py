@@ -20,6 +20,7 @@ from lakewarden.llm import (
     sharding,
     simhash,
     token_counts,
+    toxicity,
 )
 from lakewarden.llm.common import read
 
@@ -189,3 +190,9 @@ counted AS (SELECT part, filter_order, step::INT AS step, x,
         coalesce(sum(toxic) FILTER (here AND NOT gone), 0)::BIGINT AS toxic_lost
     FROM cases GROUP BY part, filter_order, step, x)
 SELECT * EXCLUDE (x), (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM counted"""
+
+
+@query
+def op12_toxic_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every document."""
+    return toxicity.score_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
