@@ -3,9 +3,9 @@
 * ``lookup_join`` joins rows to a side with one row per key. The side is broadcast
   if its counted size is within bounds; otherwise only the rows of the lookup that
   belong to hot keys are broadcast, so hot rows are never shuffled by their key.
-* ``previous`` and ``numbered`` are window functions over (keys, order). A hot key is
-  cut into consecutive blocks by quantiles of its own order column; each block is an
-  ordinary window, and one small row per block carries the value to the next block.
+* ``previous`` and ``numbered`` are window functions over (keys, order). Rows of hot keys
+  are dealt by ranges of the key and all order columns; what a partition has of a key is
+  an ordinary window, and one small row per partition carries the value to the next one.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakewarden.settings import (
     MAX_BROADCAST_BYTES,
@@ -24,7 +23,8 @@ from lakewarden.settings import (
     work_dir,
 )
 
-MAX_BLOCKS = 16384
+# Ranges come from a sample, so partitions are planned smaller than the limit.
+SLACK = 1.25
 BLOCK = "_block"
 UNSPLIT = -1
 
@@ -109,22 +109,15 @@ def lookup_join(
     return kept.unionByName(moved)
 
 
-def _scale(dtype: T.DataType, column: Column) -> Column:
-    """A number, date or timestamp that rises with ``column`` (ties allowed)."""
-    if isinstance(dtype, T.StringType):
-        head = F.hex(F.substring(F.encode(column, "utf-8"), 1, 7))
-        return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("bigint")
-    if isinstance(dtype, T.BooleanType):
-        return column.cast("int")
-    return column
-
-
-def _block_number(coarse: Column, bounds: Column, value: Column, stride: int) -> Column:
-    """How many of the sorted bounds lie below value, by looking first at ``coarse``, every
-    ``stride``-th bound, and then within one stride."""
-    jump = F.size(F.filter(coarse, lambda b: b < value)) * stride
-    rest = F.filter(F.slice(bounds, jump + 1, F.lit(stride)), lambda b: b < value)
-    return F.when(value.isNotNull(), jump + F.size(rest)).otherwise(F.lit(0))
+def _tie_breakers(df: DataFrame, used: Sequence[str]) -> list[Column]:
+    """One hash of the other columns, as far as they can be hashed: rows that are equal in ``used`` may then be
+    dealt to several partitions. Nothing if there are none."""
+    rest = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in used and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))
+    ]
+    return [F.xxhash64(*rest)] if rest else []
 
 
 def split_blocks(
@@ -133,46 +126,28 @@ def split_blocks(
     order: Sequence[str],
     rows_per_group: int = ROWS_PER_GROUP,
 ) -> DataFrame:
-    """Add ``_block``, a number that rises with the first order column inside each key.
+    """Add ``_block``, a number that rises with the order inside each key.
 
-    Keys that are not hot have the one block UNSPLIT. If no key is hot the input is
-    returned without the column.
+    Rows of hot keys are dealt by ranges of the keys and all order columns; a block is what one partition has of
+    a key. Other keys have the one block UNSPLIT. If no key is hot the input is returned without the column.
     """
     keys = list(keys)
-    dtype = df.schema[order[0]].dataType
     hot = hot_keys(df, keys, rows_per_group)
     if hot is None:
         return df
-    n = math.ceil(hot.agg(F.max("_rows")).first()[0] / rows_per_group)
-    n = max(2, min(MAX_BLOCKS, n))
-    stride = max(2, math.isqrt(n))
+    parts = math.ceil(hot.agg(F.sum("_rows")).first()[0] * SLACK / rows_per_group)
     lookup = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    rows_of_hot = df.join(
-        F.broadcast(lookup) if fits_broadcast(lookup) else lookup, _same(keys, "_h_"), "left_semi"
-    )
-    cuts = (
-        rows_of_hot.groupBy(*keys)
-        .agg(
-            F.percentile_approx(
-                _scale(dtype, F.col(order[0])), [i / n for i in range(1, n)], 20 * n
-            ).alias("_cuts")
-        )
-        .select(
-            *[F.col(k).alias(f"_h_{k}") for k in keys],
-            F.lit(True).alias("_hot"),
-            "_cuts",
-            F.filter("_cuts", lambda b, i: (i + 1) % stride == 0).alias("_coarse"),
-        )
+    lookup = F.broadcast(lookup) if fits_broadcast(lookup) else lookup
+    ranges = [*keys, *[c for c in order if c not in keys]]
+    dealt = (
+        df.join(lookup, _same(keys, "_h_"), "left_semi")
+        .repartitionByRange(parts, *ranges, *_tie_breakers(df, ranges))
+        .withColumn(BLOCK, F.spark_partition_id())
+        # Ranges follow from a sample: they are kept as they were dealt.
         .checkpoint()
     )
-    joined = df.join(
-        F.broadcast(cuts) if fits_broadcast(cuts) else cuts, _same(keys, "_h_"), "left"
-    )
-    at = _scale(dtype, F.col(order[0]))
-    block = _block_number(F.col("_coarse"), F.col("_cuts"), at, stride)
-    return joined.withColumn(
-        BLOCK, F.when(F.col("_hot"), block).otherwise(F.lit(UNSPLIT))
-    ).drop("_cuts", "_coarse", "_hot", *[f"_h_{k}" for k in keys])
+    rest = df.join(lookup, _same(keys, "_h_"), "left_anti").withColumn(BLOCK, F.lit(UNSPLIT))
+    return dealt.unionByName(rest)
 
 
 def _blocks(

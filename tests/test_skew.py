@@ -50,12 +50,45 @@ def test_no_key_orders_the_whole_table(spark, rows):
     }
 
 
-def test_blocks_are_bounded(spark, rows):
-    df = spark.createDataFrame(rows, "key STRING, seq INT, value INT")
-    blocks = skew.split_blocks(df, ["key"], ["seq"], 100)
-    sizes = blocks.groupBy("key", skew.BLOCK).count().agg(F.max("count")).first()[0]
-    assert sizes <= 130
-    assert skew.split_blocks(df, ["key"], ["seq"], 10_000) is df
+def sizes(df, order, limit):
+    blocks = skew.split_blocks(df, ["key"], order, limit)
+    return [r["count"] for r in blocks.groupBy("key", skew.BLOCK).count().filter("key = 'hot'").collect()]
+
+
+ORDERS = {
+    "plain": ["seq"],
+    "long prefix": ["name"],
+    "two values first": ["two", "seq"],
+    "ties": ["two"],
+}
+
+
+@pytest.mark.parametrize("order", ORDERS.values(), ids=ORDERS.keys())
+def test_blocks_are_bounded_and_in_order(spark, order):
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("key"),
+        F.col("id").alias("seq"),
+        F.format_string("a common prefix of 30 bytes: %09d", F.col("id")).alias("name"),
+        F.when(F.col("id") % 6 == 0, "a").otherwise("b").alias("two"),
+    )
+    found = sizes(df, order, 100)
+    assert sum(found) == 1000 and max(found) <= 130
+    blocks = skew.split_blocks(df, ["key"], order, 100).filter(F.col(skew.BLOCK) != skew.UNSPLIT)
+    ends = blocks.groupBy(skew.BLOCK).agg(F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high"))
+    ends = sorted(ends.collect())
+    assert all(a.high <= b.low for a, b in zip(ends, ends[1:]))
+    assert skew.split_blocks(df, ["key"], order, 10_000) is df
+
+
+def test_ordered_work_on_texts_and_ties(spark):
+    """Values carried over blocks that share a long prefix, and numbers that are gapless in spite of ties."""
+    df = spark.range(1000).select(F.lit("hot").alias("key"), F.format_string("%030d", "id").alias("at"), "id",
+                                  (F.col("id") % 3).alias("few"))
+    got = skew.previous(df, ["key"], ["at"], {"prev": F.when(F.col("id") % 7 == 0, F.col("id"))}, 60).collect()
+    assert {r.id: r.prev for r in got} == {i: (i - 1) // 7 * 7 if i else None for i in range(1000)}
+    tied = skew.numbered(df, ["key"], ["few"], "rn", 60).collect()
+    assert sorted(r.rn for r in tied) == list(range(1, 1001))
+    assert [r.few for r in sorted(tied, key=lambda r: r.rn)] == sorted(i % 3 for i in range(1000))
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
