@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,6 +116,23 @@ def split_events(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events, marked.filter("reason IS NOT NULL").select("value", "seq", "reason")
 
 
+def same_content(fields: str) -> Column:
+    """A text that is equal for maps with the same entries."""
+    return F.to_json(F.array_sort(F.map_entries(fields)), {"ignoreNullFields": "false"})
+
+
+def distinct_events(events: DataFrame, *marks: str, key: str = "bri", seq: str = "seq") -> DataFrame:
+    """One row per different event (key, seq, action, fields), with the largest of each of the text columns ``marks``,
+    and ``counts``: whether it sorts first among the events of its key and number. A key should have one event per
+    number; if it has several, which one counts does not depend on their order of arrival."""
+    single = events.groupBy(key, seq, "action", same_content("fields").alias("_same")).agg(
+        F.any_value("fields").alias("fields"), *[F.max(m).alias(m) for m in marks]
+    )
+    # Groups of different events with one number are small.
+    first = F.row_number().over(Window.partitionBy(key, seq).orderBy("action", "_same"))
+    return single.withColumn("counts", first == 1).drop("_same")
+
+
 def fold_events(
     events: DataFrame,
     key: str = "bri",

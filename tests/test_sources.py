@@ -94,11 +94,14 @@ def test_connector_settings():
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "5"
 
 
-def test_stream_equals_batch_and_replay_changes_nothing(spark, folder):
-    rnd = random.Random(3)
-    lines = []
-    for seq in range(400):
-        bri = rnd.choice(["hot", f"k{rnd.randrange(12)}"])
+# --- the registry stream ------------------------------------------------------------------------
+
+
+def made_events(n, seed, keys=12):
+    """Events of a hot key and others, with odd ones, explicit nulls and two different events of one number."""
+    rnd, lines = random.Random(seed), []
+    for seq in range(n):
+        bri = rnd.choice(["hot", f"k{rnd.randrange(keys)}"])
         action = rnd.choices(["create", "update", "delete", "odd"], [3, 6, 2, 1])[0]
         if action == "delete":
             event = {"seq": seq, "action": action, "bri": bri}
@@ -108,29 +111,101 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, folder):
                 meta["businessTitle"] = rnd.choice([None, f"t{seq}"])
             event = {"seq": seq, "action": action, "metadata": meta}
         lines.append(json.dumps(event))
+        if rnd.random() < 0.05:
+            lines.append(json.dumps({"seq": seq, "action": "update", "metadata": {"bri": bri, "name": f"z{seq}"}}))
+    return lines
+
+
+def parts_as_stream(spark, folder, parts, **options):
+    """Feed each part as one batch; returns the registry's folder."""
     source, path = f"{folder}/in", f"{folder}/registry"
     os.mkdir(source)
-    for i in range(4):
-        part = lines[i * 100: i * 100 + 100]
-        rnd.shuffle(part)
-        open(f"{source}/{i}.txt", "w").write("\n".join(part) + "\n")
-        os.utime(f"{source}/{i}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
+    for i, part in enumerate(parts):
+        open(f"{source}/{i:03d}.txt", "w").write("\n".join(part) + "\n")
+        os.utime(f"{source}/{i:03d}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
     events = streams.file_events(spark, source, files_per_batch=1)
-    run = registry_stream.stream_registry(events, path, buckets=3, once=True, rows_per_group=40)
-    assert run.awaitTermination(300) and run.exception() is None
-
-    batch = spark.read.text(source).select("value", F.get_json_object("value", "$.seq").cast("bigint").alias("seq"))
-    parsed, dead = registry.parse_events(batch)
-    want = {r.bri: r.fields for r in registry.current(parsed, list(registry.ENTITY_FIELDS)).collect()}
-    got = {r.bri: r.fields for r in registry_stream.read_registry(spark, path).collect()}
-    assert got == want and want
-    statuses = {r.seq: r.status for r in registry_stream.read_changes(spark, path).collect()}
-    assert statuses == {r.seq: r.status for r in registry.fold_events(parsed).collect()}
-    assert spark.read.parquet(f"{path}/dead").count() == dead.count() > 0
-
-    text = spark.read.text(f"{source}/3.txt")
-    again = text.select("value", F.get_json_object("value", "$.seq").cast("bigint").alias("seq"))
-    registry_stream.apply_batch(again, 3, path, buckets=3)  # the same batch once more
-    assert {r.bri: r.fields for r in registry_stream.read_registry(spark, path).collect()} == want
-    registry_stream.apply_batch(again, 4, path, buckets=3)  # the same events in a later batch
-    assert {r.bri: r.fields for r in registry_stream.read_registry(spark, path).collect()} == want
+    run = registry_stream.stream_registry(events, path, buckets=3, once=True, rows_per_group=40, **options)
+    assert run.awaitTermination(600) and run.exception() is None
+    return path
+
+
+def frame(spark, lines):
+    df = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    return df.select("value", F.get_json_object("value", "$.seq").cast("bigint").alias("seq"))
+
+
+def in_one_batch(spark, lines):
+    """(living fields by key, status by event, dead letters) without a stream."""
+    parsed, dead = registry.parse_events(frame(spark, lines))
+    single = registry.distinct_events(parsed).cache()
+    counted = single.filter("counts")
+    living = {r.bri: r.fields for r in registry.current(counted).collect()}
+    rows = registry.fold_events(counted).select("bri", "seq", "action", "fields", "status")
+    lost = single.filter("NOT counts").select("bri", "seq", "action", "fields", F.lit("rejected_same_seq"))
+    return living, statuses(rows.union(lost)), dead.count()
+
+
+def statuses(df):
+    found = [((r.bri, r.seq, r.action, json.dumps(r.fields, sort_keys=True)), r.status) for r in df.collect()]
+    assert len(dict(found)) == len(found)
+    return dict(found)
+
+
+def living(spark, path):
+    return {r.bri: r.fields for r in registry_stream.read_registry(spark, path).collect()}
+
+
+def written(spark, path, kind, batch):
+    return spark.read.schema("bri STRING").parquet(f"{path}/{kind}/batch={batch}").count()
+
+
+@pytest.mark.parametrize("dealing", ["in order", "shuffled", "reversed"])
+def test_stream_equals_batch_however_events_are_dealt(spark, folder, dealing):
+    lines = made_events(240, 3)
+    dealt = lines[::-1] if dealing == "reversed" else list(lines)
+    if dealing == "shuffled":
+        random.Random(5).shuffle(dealt)
+    size = len(dealt) // 4 + 1
+    parts = [dealt[i: i + size] for i in range(0, len(dealt), size)]
+    path = parts_as_stream(spark, folder, parts)
+    want, fates, dead = in_one_batch(spark, lines)
+    assert living(spark, path) == want and want
+    assert statuses(registry_stream.read_changes(spark, path)) == fates
+    assert "rejected_same_seq" in fates.values()
+    assert spark.read.parquet(f"{path}/dead").count() == dead > 0
+
+
+def test_replays_and_compaction_change_nothing(spark, folder):
+    lines = made_events(120, 4)
+    path = parts_as_stream(spark, folder, [lines[:70], lines[70:]])
+    want, fates, _ = in_one_batch(spark, lines)
+    again = frame(spark, lines[70:])
+    registry_stream.apply_batch(again, 1, path, buckets=3)  # the same batch once more
+    assert living(spark, path) == want
+    assert registry_stream.compact(spark, path) == 1
+    assert living(spark, path) == want and statuses(registry_stream.read_changes(spark, path)) == fates
+    registry_stream.apply_batch(again, 2, path, buckets=3)  # the same events in a later batch
+    assert living(spark, path) == want and statuses(registry_stream.read_changes(spark, path)) == fates
+    assert written(spark, path, "changes", 2) == 0
+    late = json.dumps({"seq": -1, "action": "create", "metadata": {"bri": "hot", "name": "first", "datatype": "d"}})
+    registry_stream.apply_batch(frame(spark, [late]), 3, path, buckets=3)  # after a base, before all others
+    want, fates, _ = in_one_batch(spark, [*lines, late])
+    assert living(spark, path) == want and statuses(registry_stream.read_changes(spark, path)) == fates
+    with pytest.raises(ValueError, match="3 buckets, not 4"):
+        registry_stream.apply_batch(again, 4, path, buckets=4)
+
+
+def test_a_batch_writes_only_its_keys(spark, folder):
+    def create(i, seq):
+        return json.dumps({"seq": seq, "action": "create", "metadata": {"bri": f"k{i}", "name": "n", "datatype": "d"}})
+
+    path = f"{folder}/registry"
+    registry_stream.apply_batch(frame(spark, [create(i, i) for i in range(2000)]), 0, path, buckets=4)
+    changes = [json.dumps({"seq": 5000 + i, "action": "update", "metadata": {"bri": f"k{i}", "name": "m"}})
+               for i in range(10)]
+    registry_stream.apply_batch(frame(spark, changes), 1, path, buckets=4)
+    assert written(spark, path, "state", 1) == written(spark, path, "changes", 1) == 10
+    found = living(spark, path)
+    assert len(found) == 2000 and found["k3"]["name"] == "m" and found["k10"]["name"] == "n"
+    registry_stream.apply_batch(frame(spark, ["broken"]), 2, path, buckets=4)  # no event at all
+    assert len(living(spark, path)) == 2000
