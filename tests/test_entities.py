@@ -1,12 +1,15 @@
 import random
-import time
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakewarden.functions import patterns as P
 from lakewarden.operators.entities import detect_entities, find_entities, split_tokens
+from lakewarden.plans import catalogue
+from lakewarden.plans import text as text_plans
 
 # One hit and one near miss of every pattern.
 EXAMPLES = {
@@ -111,6 +114,54 @@ def test_ipv6_shortcut_is_exact(spark):
         assert r.m == [m for m in want if m], r.t
 
 
+def test_ipv6_is_linear_on_log_lines(spark):
+    pattern = next(p for p in P.PATTERNS if p.name == "ipv6")
+    lines = {
+        "clock": "10:20:30 started job\n",
+        "name": "std::vector at a::b 10:20\n",
+        "address": "from 2001:db8:0:0:0:0:1:7 ok\n",
+    }
+
+    def seconds(line, n):
+        df = spark.createDataFrame([(line * n + "::1 end",)], "t STRING").cache()
+        df.count()
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            found = df.select(pattern.matches(F.col("t"))).first()[0]
+            best.append(time.perf_counter() - start)
+        return min(best), found
+
+    for kind, line in lines.items():
+        seconds(line, 1000)
+        (once, found), (twice, more) = seconds(line, 20_000), seconds(line, 40_000)
+        assert twice < 3 * once + 0.2, (kind, once, twice)
+        assert found[-1] == "::1" and len(more) == {"clock": 1, "name": 2, "address": 40_001}[kind]
+
+
+def test_detect_all_searches_the_given_texts(spark, tmp_path):
+    """The registered query against Python, on tables of a few texts: every hit and near miss in each table."""
+    rnd, texts = random.Random(2), [t for hits, misses in EXAMPLES.values() for t in [*hits, *misses]]
+    texts += [" ".join(rnd.choices(texts, k=6)) for _ in range(40)] + [None, "", "<p>a@b.de, 10:20:30 ::1</p>"]
+    rows = list(enumerate(texts))
+    schemas = {
+        "documents": ("doc_id long, text string", rows),
+        "conversations": ("conv_id long, turn long, text string", [(i // 2, i % 2, t) for i, t in rows]),
+        "pages": ("page_id long, html string", rows),
+        "benchmark": ("item_id long, text string", rows),
+        "orders": ("o_orderkey long, o_custkey long, o_orderpriority string", [(7, 3, "1-URGENT"), (4711, 99, "5-LOW")]),
+    }
+    for name, (schema, data) in schemas.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = sorted((r.id, r.entity_type, r.match, r.n) for r in catalogue.QUERIES["detect_all"](spark, str(tmp_path)).collect())
+    want = Counter()
+    for r in text_plans._texts(spark, str(tmp_path)).filter("text IS NOT NULL").collect():
+        for p in P.PATTERNS:
+            want.update((r.id, p.name, m) for m in expected(p, r.text))
+    assert got == sorted((*k, n) for k, n in want.items())
+    assert {k[1] for k in want} == {p.name for p in P.PATTERNS}
+
+
 def test_counts_nulls_and_tokens(spark):
     df = spark.createDataFrame([(1, "@a @b @a"), (2, None), (3, "none")], "id INT, t STRING")
     mention = [p for p in P.PATTERNS if p.name == "mention"]
