@@ -1,8 +1,8 @@
 """Joins and ordered scans that stay balanced when one key holds much of the data.
 
-* ``lookup_join`` joins rows to a side with one row per key. The side is broadcast
-  if its counted size is within bounds; otherwise only the rows of the lookup that
-  belong to hot keys are broadcast, so hot rows are never shuffled by their key.
+* ``lookup_join`` joins rows to a lookup. It is broadcast if its counted size is within
+  bounds; otherwise only its rows that belong to hot keys are, so hot rows are never
+  shuffled by their key. If even those are too many, hot rows are salted.
 * ``previous`` and ``numbered`` are window functions over (keys, order). Rows of hot keys
   are dealt by ranges of the key and all order columns; what a partition has of a key is
   an ordinary window, and one small row per partition carries the value to the next one.
@@ -78,12 +78,14 @@ def lookup_join(
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join ``left`` to ``right``, which holds one row per key.
+    """Equi-join ``left`` to ``right``, usually one row per key, but any number will do.
 
-    ``how`` is left, inner, left_semi or left_anti. ``hot`` may name the hot keys of ``left``
-    if the caller has counted them already.
+    ``how`` is left, inner, left_semi or left_anti. ``hot`` may name the hot keys of ``left`` (with their ``_rows``)
+    if the caller has counted them already. The lookup is computed once: it is measured and joined from a checkpoint.
     """
     on = list(on)
+    work_dir(left.sparkSession)
+    right = right.checkpoint()
     if fits_broadcast(right, max_broadcast_rows):
         return left.join(F.broadcast(right), on, how)
     known = left.dropna(subset=on)
@@ -92,21 +94,29 @@ def lookup_join(
     if hot is None:
         hot = hot_keys(known, on, rows_per_group)
     if hot is None:
-        hot = known.select(*on).limit(0)
-    hot = hot.select(*on)
-    if not fits_broadcast(hot):
+        hot = known.select(*on).limit(0).withColumn("_rows", F.lit(0))
+    shares = hot.select(*on, F.greatest(F.ceil(F.col("_rows") / rows_per_group), F.lit(1)).cast("int").alias("_shares"))
+    if not fits_broadcast(shares):
         # More hot keys than a broadcast may hold: adaptive skew-join splitting remains.
         return left.join(right, on, how)
+    marked = left.join(F.broadcast(shares), on, "left")
     missing = F.lit(False)
     for k in on:
         missing = missing | F.col(k).isNull()
-    marked = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
-    # Hot rows, and rows whose key is NULL, stay where they are.
-    stay = F.coalesce(F.col("_hot"), F.lit(False)) | missing
-    hot_right = right.join(F.broadcast(hot), on, "left_semi")
-    kept = marked.filter(stay).drop("_hot").join(F.broadcast(hot_right), on, how)
-    moved = marked.filter(~stay).drop("_hot").join(right, on, how)
-    return kept.unionByName(moved)
+    is_hot = F.col("_shares").isNotNull()
+    hot_right = right.join(F.broadcast(shares), on, "inner")
+    moved = marked.filter(~is_hot & ~missing).drop("_shares").join(right, on, how)
+    # Rows whose key is NULL match nothing and stay where they are.
+    alone = marked.filter(missing).drop("_shares").join(F.broadcast(right.limit(0)), on, how)
+    rows_of_hot = marked.filter(is_hot)
+    if fits_broadcast(hot_right, max_broadcast_rows):
+        kept = rows_of_hot.drop("_shares").join(F.broadcast(hot_right.drop("_shares")), on, how)
+    else:
+        # Rows of a hot key are dealt to as many shares as it needs, and its part of the lookup goes to each of them.
+        dealt = rows_of_hot.withColumn("_share", F.pmod(F.monotonically_increasing_id(), "_shares").cast("int"))
+        copies = hot_right.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+        kept = dealt.drop("_shares").join(copies.drop("_shares"), [*on, "_share"], how).drop("_share")
+    return kept.unionByName(moved).unionByName(alone)
 
 
 def _tie_breakers(df: DataFrame, used: Sequence[str]) -> list[Column]:

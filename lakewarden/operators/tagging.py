@@ -154,15 +154,41 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _runs(text: Column, lengths: Sequence[int]) -> Column:
-    """The distinct runs of consecutive words that have one of the given lengths."""
+def _marks(text: Column) -> Column:
+    """The distinct words of a text, and the distinct other characters."""
+    words = F.concat(_words(text), F.regexp_extract_all(text, F.lit(r"[^\p{L}\p{N}]"), F.lit(0)))
+    return F.array_distinct(words)
 
-    def cut(words: Column, n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-        return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
 
-    return let(_words(text), lambda words: F.array_distinct(F.concat(*[cut(words, n) for n in lengths])))
+def _keys(term: Column) -> Column:
+    """Marks that every text with the term has: its words, or its characters if it has none."""
+    return let(_words(term), lambda words: F.when(F.size(words) > 0, F.array_distinct(words)).otherwise(_marks(term)))
+
+
+def _candidates(texts: DataFrame, terms: DataFrame, rows_per_group: int, **limits) -> DataFrame:
+    """(_id, _terms): for each text the terms whose anchor it holds.
+
+    The anchor of a term is its word that occurs in the fewest texts. So a text meets a term only if it has the
+    rarest word of it, and a term with a word that no text has meets none.
+    """
+    words = terms.select("term", F.explode(_keys(F.col("term"))).alias("_mark"))
+    held = lookup_join(
+        texts.select(F.col(texts.columns[0]).alias("_id"), F.explode(_marks(F.col("content"))).alias("_mark")),
+        words.select("_mark").distinct(),
+        ["_mark"],
+        "left_semi",
+        rows_per_group=rows_per_group,
+        **limits,
+    ).checkpoint()
+    spread = held.groupBy("_mark").agg(F.count(F.lit(1)).alias("_n"))
+    # Both sides have a row per word of the gazetteer, the left one per term and word.
+    known = words.join(spread, "_mark", "left")
+    anchors = known.groupBy("term").agg(
+        F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_mark").alias("_mark"))).alias("a")
+    )
+    anchored = terms.join(anchors.filter("a.n > 0").select("term", "a._mark"), "term")
+    found = lookup_join(held, anchored, ["_mark"], "inner", rows_per_group=rows_per_group, **limits)
+    return found.groupBy("_id").agg(F.collect_list(F.struct("term", "label")).alias("_terms"))
 
 
 def annotate_spans(
@@ -176,9 +202,8 @@ def annotate_spans(
 ) -> DataFrame:
     """(id, content, entities): the spans of gazetteer terms in each text, ends exclusive.
 
-    A small gazetteer is matched inside each row. A larger one is joined by the word sequence
-    of each term to the word sequences of the texts, so that no text is compared with all
-    terms. The ids must be unique.
+    A small gazetteer is matched inside each row. A larger one is an index of terms by their rarest word; only
+    texts with that word are searched for the term. The ids must be unique.
     """
     terms = gazetteer.select("term", "label").dropna().filter("term <> ''").distinct()
     texts = df.select(F.col(id_column), F.col(text_column).alias("content"))
@@ -193,29 +218,9 @@ def annotate_spans(
             "_terms", F.filter(pairs, lambda p: F.contains(content, p["term"]))
         )
     else:
-        keyed = terms.withColumn("_run", F.array_join(_words(F.col("term")), " "))
-        sizes = keyed.select(F.size(_words(F.col("term"))).alias("n")).distinct().collect()
-        # Terms without any letter or digit cannot be found by words: each text is checked.
-        extra = F.array(
-            *[F.struct(F.lit(r["term"]).alias("term"), F.lit(r["label"]).alias("label"))
-              for r in keyed.filter("_run = ''").collect()]
-        ).cast("array<struct<term:string,label:string>>")
-        runs = _runs(content, sorted(r["n"] for r in sizes if r["n"] > 0))
-        found = lookup_join(
-            texts.select(id_column, F.explode(runs).alias("_run")),
-            keyed.filter("_run <> ''"),
-            ["_run"],
-            "inner",
-            rows_per_group=rows_per_group,
-            **limits,
-        )
-        candidates = found.groupBy(F.col(id_column).alias("_id")).agg(
-            F.collect_list(F.struct("term", "label")).alias("_terms")
-        )
+        candidates = _candidates(texts, terms, rows_per_group, **limits)
         joined = texts.join(candidates, F.col(id_column).eqNullSafe(F.col("_id")), "left").withColumn(
-            "_terms",
-            F.concat(F.coalesce("_terms", F.array().cast("array<struct<term:string,label:string>>")),
-                     F.filter(extra, lambda p: F.contains(content, p["term"]))),
+            "_terms", F.filter("_terms", lambda p: F.contains(content, p["term"]))
         )
     spans = F.flatten(
         F.transform("_terms", lambda p: _occurrences(content, p["term"], p["label"]))

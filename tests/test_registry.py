@@ -134,7 +134,7 @@ def edges(spark):
         "id INT, input_bri STRING, output_bri STRING, movement_type STRING, relationship_level INT")
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 0, "rows_per_group": 5}])
+@pytest.mark.parametrize("limits", [{}, {"rows_per_group": 5}, {"max_broadcast_rows": 0, "rows_per_group": 5}])
 def test_downstream(edges, limits):
     got = sorted((r.id, r.level, tuple(r.path)) for r in lineage.downstream(edges, "a", **limits).collect())
     assert got == sorted(walk("a", ("a",)))
@@ -154,3 +154,21 @@ def test_edit_edges(spark, edges):
     assert more.filter(F.col("input_bri") == "p").first().id == 130
     gone = spark.createDataFrame([(130,), (1,)], "id INT")
     assert lineage.delete_edges(more, gone).count() == len(EDGES) - 1
+
+
+def test_edges_do_not_move_after_they_are_stored(spark):
+    """At every level only the frontier is exchanged; the edges are read by bucket."""
+    edges = spark.range(3000).select(
+        "id", F.concat(F.lit("n"), F.col("id") % 700).alias("input_bri"), F.concat(F.lit("n"), F.col("id") % 911).alias("output_bri"),
+        F.lit("copy").alias("movement_type"), F.lit(1).alias("relationship_level"))
+    stored = lineage.StoredEdges(edges)
+    frontier = spark.createDataFrame([("n1", ["n1"])], "input_bri STRING, path ARRAY<STRING>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = stored.leaving(frontier)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") > plan.index("Bucketed: true")
+    left = {(r.input_bri, r.output_bri) for r in stored.leaving(frontier).collect()}
+    assert left == {("n1", f"n{i % 911}") for i in range(1, 3000, 700)}

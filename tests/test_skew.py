@@ -101,3 +101,23 @@ def test_lookup_join_split_equals_plain_join(spark, rows, how, hot):
     split = skew.lookup_join(df, lookup, ["key"], how, rows_per_group=hot, max_broadcast_rows=2)
     assert sorted(map(str, small.collect())) == want
     assert sorted(map(str, split.select(*small.columns).collect())) == want
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_lookup_with_many_rows_per_hot_key(spark, rows, how):
+    """A hot part beyond the broadcast bound is salted: same rows, and no broadcast of the lookup in the plan."""
+    df = spark.createDataFrame(rows, "key STRING, seq INT, value INT")
+    many = [("hot", i) for i in range(40)] + [("a", 2), ("a", 3), ("zz", 4)]
+    lookup = spark.createDataFrame(many, "key STRING, n INT")
+    want = sorted(map(str, df.join(lookup, ["key"], how).collect()))
+    got = skew.lookup_join(df, lookup, ["key"], how, rows_per_group=100, max_broadcast_rows=10)
+    assert sorted(map(str, got.select(*df.join(lookup, ["key"], how).columns).collect())) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        split = skew.lookup_join(df, lookup, ["key"], how, rows_per_group=100, max_broadcast_rows=10)
+        plan = split._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_share" in plan and "SortMergeJoin [key" in plan
+    dealt = df.filter("key = 'hot'").withColumn("_share", F.expr("pmod(monotonically_increasing_id(), 9)"))
+    assert dealt.groupBy("_share").count().agg(F.max("count")).first()[0] <= 200
