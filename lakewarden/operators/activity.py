@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewarden.operators.skew import lookup_join
-from lakewarden.settings import ROWS_PER_GROUP
+from lakewarden.settings import ROWS_PER_GROUP, work_dir
+
+# Names of activities and fields are a schema; more of them than this are data.
+MAX_FIELDS = 100_000
 
 
 def string_schema(fields: Sequence[str]) -> T.StructType:
@@ -51,11 +54,19 @@ def discover_fields(df: DataFrame, key: str = "activity", json_column: str = "ac
     return df.select(F.col(key).alias("activity"), keys).dropna().distinct()
 
 
-def activity_fields(df: DataFrame, key: str = "activity", json_column: str = "activity_out") -> dict:
-    """{activity: [fields]} for all activities: a configuration, as large as the schema."""
-    found = discover_fields(df, key, json_column)
-    names = df.select(F.col(key).alias("activity")).dropna().distinct()
-    rows = names.join(found, "activity", "left").orderBy("activity", "field").collect()
+def activity_fields(
+    df: DataFrame, key: str = "activity", json_column: str = "activity_out", max_fields: int = MAX_FIELDS
+) -> dict:
+    """{activity: [fields]} for all activities: a configuration, as large as the schema. More than ``max_fields``
+    entries are an error: then the keys are data."""
+    work_dir(df.sparkSession)
+    # One pass: an activity without fields has the NULL entry only.
+    keys = F.explode_outer(F.json_object_keys(json_column)).alias("field")
+    found = df.select(F.col(key).alias("activity"), keys).dropna(subset=["activity"]).distinct().checkpoint()
+    n = found.count()
+    if n > max_fields:
+        raise ValueError(f"{n} pairs of activity and field, more than {max_fields}")
+    rows = found.orderBy("activity", "field").collect()
     config: dict[str, list[str]] = {}
     for r in rows:
         fields = config.setdefault(r["activity"], [])
@@ -78,7 +89,7 @@ def flatten(
     for the activity's own). The one record chosen supplies all of them.
 
     One scan and one shuffle on the workflow; each task first reduces its own rows, and the
-    JSON is parsed for the chosen records only.
+    JSON of a chosen record is parsed once, whatever the number of its fields.
     """
     record = F.struct("activity_status", "activity_completion_time", "activity_parent", "activity_out")
     time = F.col("activity_completion_time")
@@ -90,6 +101,12 @@ def flatten(
         ]
     )
     union = sorted({f for names in fields.values() for f in names})
+    # Each chosen record is parsed into a column of its own, from which the fields are taken.
+    out = [
+        F.from_json(F.col(f"_{i}.activity_out"), string_schema(own)).alias(f"_v{i}")
+        for i, own in enumerate(fields.values()) if own
+    ]
+    parsed = chosen.select("*", *out)
     columns = [F.col(workflow)]
     for i, (activity, own) in enumerate(fields.items()):
         row = F.col(f"_{i}")
@@ -98,10 +115,9 @@ def flatten(
             row["activity_completion_time"].alias(f"{activity}_completion_time"),
             row["activity_parent"].alias(f"{activity}_parent"),
         ]
-        parsed = F.from_json(row["activity_out"], string_schema(union)) if union else None
         for field in union:
             if field in own:
-                columns.append(parsed.getField(field).alias(f"{activity}_{field}"))
+                columns.append(F.col(f"_v{i}").getField(field).alias(f"{activity}_{field}"))
             elif every_field:
                 columns.append(F.lit(None).cast("string").alias(f"{activity}_{field}"))
-    return chosen.select(*columns)
+    return parsed.select(*columns)

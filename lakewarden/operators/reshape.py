@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.settings import fresh_path
+from lakewarden.operators.skew import lookup_join
+from lakewarden.settings import ROWS_PER_GROUP, fresh_path, work_dir
+
+# Keys of a table's records become its columns; more of them than this are data.
+MAX_COLUMNS = 10_000
 
 
 def _as_text(field: T.StructField) -> Column:
@@ -107,35 +110,73 @@ def rebuild_table(records: DataFrame, filename: str, columns: Sequence[str]) ->
     return records.filter(F.col("filename") == filename).select(*values)
 
 
-def _folder(name: str) -> str:
-    """A table's name as one folder name: it can neither nest nor lead elsewhere."""
-    escaped = quote(name, safe=" ")
-    return escaped.replace(".", "%2E") if not escaped.strip(".") else escaped
+def cell(value: Column) -> Column:
+    """A text as a cell of a CSV line, quoted where that is needed; NULL is empty."""
+    return F.coalesce(F.to_csv(F.struct(value.alias("v"))), F.lit(""))
+
+
+def _line(cells: Column) -> Column:
+    line = F.array_join(cells, ",")
+    # The one cell of a line is empty: readers skip blank lines.
+    return F.when(line == "", F.lit('""')).otherwise(line)
+
 
+def table_columns(records: DataFrame, max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """(filename, columns): the sorted union of the keys of each table. A table of more than ``max_columns`` keys is
+    an error: its keys are data."""
+    keys = record_columns(records).checkpoint()
+    widest = keys.groupBy("filename").count().agg(F.max_by(F.struct("filename", "count"), "count")).first()[0]
+    if widest is not None and widest["count"] > max_columns:
+        raise ValueError(f"the records of {widest['filename']} have {widest['count']} different keys")
+    return keys.groupBy("filename").agg(F.sort_array(F.collect_list("columnname")).alias("columns"))
 
-def write_tables(records: DataFrame, path: str) -> list[str]:
-    """Write one CSV folder per table below ``path``; returns the table names.
 
-    The records are first written once, partitioned by table, so that each table's CSV is
-    made from its own rows only.
+def write_tables(
+    records: DataFrame, path: str, rows_per_file: int = ROWS_PER_GROUP, max_columns: int = MAX_COLUMNS
+) -> DataFrame:
+    """Write all tables as CSV, each in its folder ``filename=<table>`` below ``path``, by one job whatever the number
+    of tables; returns (filename, columns, n_rows).
+
+    Every file begins with the header of its table. A table of many rows is written by several tasks.
     """
     spark = records.sparkSession
+    work_dir(spark)
     staged = fresh_path(spark, "records")
-    records.select("filename", "record").write.partitionBy("filename").parquet(staged)
-    rows = spark.read.schema("record MAP<STRING,STRING>, filename STRING").parquet(staged)
-    columns: dict[str, list[str]] = {}
-    for r in record_columns(rows).orderBy("filename", "columnname").collect():
-        columns.setdefault(r["filename"], []).append(r["columnname"])
-    for name, names in columns.items():
-        rebuild_table(rows, name, names).write.mode("overwrite").option("header", True).csv(
-            f"{path}/{_folder(name)}"
-        )
-    return list(columns)
+    named = records.select(F.coalesce("filename", F.lit("")).alias("filename"), "record")
+    named.write.parquet(staged)
+    rows = spark.read.schema("filename STRING, record MAP<STRING,STRING>").parquet(staged)
+    sizes = rows.groupBy("filename").agg(F.count(F.lit(1)).alias("n_rows"))
+    # A table whose records are all empty has no columns, but rows.
+    tables = sizes.join(table_columns(rows, max_columns), "filename", "left").select(
+        "filename", F.coalesce("columns", F.array().cast("array<string>")).alias("columns"), "n_rows"
+    ).checkpoint()
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.ceil(F.col("n_rows") / rows_per_file).cast("int")
+    share_task = F.pmod(F.xxhash64("filename", "_share"), F.lit(parts)).cast("int").alias("_task")
+    known = tables.select("filename", "columns", shares.alias("_shares"))
+    body = lookup_join(rows, known, ["filename"], "inner").withColumn(
+        "_share", F.pmod(F.monotonically_increasing_id(), "_shares").cast("int")
+    )
+    cells = F.transform("columns", lambda c: cell(F.element_at("record", c)))
+    body = body.select("filename", share_task, F.lit(1).alias("_kind"), _line(cells).alias("value"))
+    heads = known.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+    # One per table and task: the task writes one file of the table.
+    heads = heads.select("filename", share_task, F.lit(0).alias("_kind"),
+                         _line(F.transform("columns", cell)).alias("value")).distinct()
+    lines = heads.unionByName(body).repartitionById(parts, F.col("_task"))
+    # A folder's name must not be NULL, else the writer would sort by it anew.
+    folder = F.coalesce("filename", F.lit("")).alias("filename")
+    lines.select(folder, "_kind", "value").sortWithinPartitions("filename", "_kind").select("filename", "value").write.mode(
+        "overwrite"
+    ).partitionBy("filename").text(path)
+    return tables
 
 
 def rebuild_tables(
-    df: DataFrame, key_columns: Sequence[str], raw_column: str, path: str
-) -> tuple[list[str], DataFrame]:
-    """Rebuild all tables of a dump as CSV below ``path``: (table names, quarantined rows)."""
+    df: DataFrame, key_columns: Sequence[str], raw_column: str, path: str, **limits
+) -> tuple[DataFrame, DataFrame]:
+    """Rebuild all tables of a dump as CSV below ``path``: (the tables as ``write_tables`` gives them, quarantined
+    rows)."""
     records, quarantine = parse_records(df, key_columns, raw_column)
-    return write_tables(records, path), quarantine
+    return write_tables(records, path, **limits), quarantine

@@ -246,6 +246,25 @@ def rebuild_one_table(spark, folder):
     return reshape.rebuild_table(records, "web.view", ["kind", "user", "seen", "note"])
 
 
+@query("""SELECT 'web.' || event_type AS filename, CASE event_type WHEN 'view' THEN 'kind,note,seen,user'
+        WHEN 'error' THEN 'kind,user,why' ELSE 'kind,user' END AS header,
+    CASE event_type WHEN 'view' THEN event_type || ',,true,' || user_id
+        WHEN 'error' THEN event_type || ',' || user_id || ',it''s broken'
+        ELSE event_type || ',' || user_id END AS line, count(*) AS n
+FROM events WHERE event_type <> 'click' GROUP BY ALL""")
+def rebuild_files(spark, folder):
+    """All tables of the dump written as CSV, and the lines of the files."""
+    records, _ = _dump(spark, folder)
+    path = fresh_path(spark, "rebuilt")
+    reshape.write_tables(records, path, rows_per_file=2_000)
+    lines = spark.read.schema("value STRING, filename STRING").text(path)
+    header = F.col("value").startswith("kind,user") & F.col("value").isin("kind,user", "kind,user,why")
+    header = header | (F.col("value") == "kind,note,seen,user")
+    heads = lines.filter(header).groupBy("filename").agg(F.min("value").alias("header"))
+    body = lines.filter(~header).groupBy("filename", F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+    return body.join(heads, "filename")
+
+
 @query("SELECT event_id, 'web.click' AS filename FROM events WHERE event_type = 'click'")
 def rebuild_quarantine(spark, folder):
     _, bad = _dump(spark, folder)

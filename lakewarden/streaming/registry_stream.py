@@ -118,14 +118,14 @@ def apply_batch(
     try:
         events, dead = split_events(held(mark_events(lines)))
         bucket = F.pmod(F.xxhash64("bri"), F.lit(buckets)).cast("int")
-        touched = [r[0] for r in events.select(bucket.alias("b")).distinct().collect()]
         keys = held(events.groupBy("bri").agg(F.min("seq").alias("_low")))
+        touched = [r[0] for r in keys.select(bucket.alias("b")).distinct().collect()]
 
-        def stored_rows(kind: str, schema: str, of: DataFrame) -> DataFrame:
-            rows = _log(spark, path, kind, schema, batch, base).filter(F.col("bucket").isin(touched))
-            return lookup_join(rows, of.select("bri"), ["bri"], "left_semi", rows_per_group=rows_per_group)
+        def stored_rows(kind: str, schema: str) -> DataFrame:
+            return _log(spark, path, kind, schema, batch, base).filter(F.col("bucket").isin(touched))
 
-        old = held(_newest_state(stored_rows("state", STATE, keys)).join(keys, "bri"))
+        # The state has at most one row per key and batch: no key is hot.
+        old = held(_newest_state(stored_rows("state", STATE).join(keys, "bri", "left_semi")).join(keys, "bri"))
         # A key with an event not after its last one is folded again from its stored events.
         late = old.filter(F.col("_low") <= F.col("last_seq"))
         images_before = old.filter(F.col("_low") > F.col("last_seq")).select(
@@ -138,7 +138,10 @@ def apply_batch(
         fresh = events.select("bri", "seq", "action", "fields", F.lit(None).cast("string").alias("was"))
         every = fresh.unionByName(images_before)
         if not late.isEmpty():
-            before = _newest_changes(stored_rows("changes", CHANGES, late))
+            of_late = lookup_join(
+                stored_rows("changes", CHANGES), late.select("bri"), ["bri"], "left_semi", rows_per_group=rows_per_group
+            )
+            before = _newest_changes(of_late)
             every = every.unionByName(
                 before.select("bri", "seq", "action", "fields", F.col("status").alias("was"))
             )

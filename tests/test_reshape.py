@@ -1,5 +1,6 @@
 import csv
 import glob
+import random
 import tempfile
 
 import pytest
@@ -38,14 +39,72 @@ def test_rebuild_tables(spark):
         ("db.u", [("x", "[1,null]"), ("y", '{"z":true}')]),
     ]
     folder = tempfile.mkdtemp(prefix="run-")
-    names, left = reshape.rebuild_tables(df, ["dbname", "tablename"], "rawdata", folder)
-    assert names == ["db.t", "db.u"] and left.count() == 3
+    tables, left = reshape.rebuild_tables(df, ["dbname", "tablename"], "rawdata", folder)
+    assert sorted(map(tuple, tables.collect())) == [("db.t", list("abcde"), 2), ("db.u", ["x", "y"], 1)]
+    assert left.count() == 3
     lines = []
-    for f in glob.glob(folder + "/db.t/*.csv"):
+    for f in glob.glob(folder + "/filename=db.t/*.txt"):
         lines += list(csv.reader(open(f)))
     assert ["a", "b", "c", "d", "e"] in lines and len([x for x in lines if x[0] != "a"]) == 2
 
 
+def jobs_of(spark, fn):
+    tracker, group = spark.sparkContext.statusTracker(), f"g{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    out = fn()
+    spark.sparkContext.setJobGroup("tests", "tests")
+    return len(tracker.getJobIdsForGroup(group)), out
+
+
+def test_tables_are_written_by_one_job_each_file_with_its_header(spark):
+    rnd = random.Random(1)
+    texts = ["plain", "with, comma", 'a "quote"', "line\nend", " blank ", "back\\slash", "", None, "é", "#", "'"]
+
+    def records(n_tables, n):
+        rows = []
+        for i in range(n):
+            t = 0 if i % 2 else rnd.randrange(n_tables)
+            keys = [f"k{j}" for j in range(1 + t % 3)] + (["the, \"odd\" key"] if t == 2 else [])
+            rows.append((f"db.t{t}", {k: rnd.choice(texts) for k in keys if rnd.random() < 0.9}))
+        return rows, spark.createDataFrame(rows, "filename STRING, record MAP<STRING,STRING>")
+
+    jobs = []
+    for n_tables in (3, 25):
+        rows, df = records(n_tables, 600)
+        folder = tempfile.mkdtemp(prefix="run-")
+        n, tables = jobs_of(spark, lambda: reshape.write_tables(df, folder, rows_per_file=50))
+        jobs.append(n)
+        for t in tables.collect():
+            own = [r for name, r in rows if name == t.filename]
+            assert t.n_rows == len(own)
+            back = spark.read.option("header", True).option("multiLine", True).csv(f"{folder}/filename={t.filename}")
+            assert back.columns == t["columns"]
+            # The CSV writer and reader of Spark take an empty text for none and cut blanks at the ends.
+            trim = lambda v: (v or "").strip(" ") or None
+            want = sorted((tuple(trim(r.get(c)) for c in t["columns"]) for r in own), key=str)
+            assert sorted((tuple(map(trim, r)) for r in back.collect()), key=str) == want
+        files = glob.glob(f"{folder}/filename=db.t0/*.txt")
+        assert len(files) > 1 and all(open(f).readline() == "k0\n" for f in files)
+    assert abs(jobs[0] - jobs[1]) <= 1
+
+
+def test_keys_that_are_data_are_an_error(spark):
+    df = spark.range(50).select(F.lit("t").alias("filename"), F.create_map(F.concat(F.lit("k"), "id"), F.lit("v")).alias("record"))
+    with pytest.raises(ValueError, match="records of t have 50 different keys"):
+        reshape.write_tables(df, tempfile.mkdtemp(prefix="run-"), max_columns=40)
+    acts = spark.range(50).select(F.lit("a").alias("activity"), F.format_string('{"k%d": 1}', "id").alias("activity_out"))
+    with pytest.raises(ValueError, match="50 pairs"):
+        activity.activity_fields(acts, max_fields=40)
+
+
+def test_each_record_is_parsed_once(spark):
+    fields = {"A": [f"a{i}" for i in range(12)], "B": [f"b{i}" for i in range(9)], "C": []}
+    df = spark.createDataFrame([("w", "A", "s", "t", "p", "{}")], "workflow_id STRING, activity STRING, "
+                               "activity_status STRING, activity_completion_time STRING, activity_parent STRING, activity_out STRING")
+    plan = activity.flatten(df, fields)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_json(") + plan.lower().count("jsontostructs(") == 2
+
+
 GAZETTEER = [("Peru", "country"), ("PERU", "place"), ("Lima", "place"), ("Lima", "region"),
              ("Cusco", "place"), ("New York", "place"), ("c++", "skill"), ("++", "sign")]
 
