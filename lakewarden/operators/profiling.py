@@ -43,11 +43,28 @@ def _measured(field: T.StructField) -> Column:
     return value
 
 
-def wide_profile(df: DataFrame) -> DataFrame:
+# A sketch of so many items holds all values of a column that has at most three quarters as many, with exact counts.
+SKETCH_ITEMS = 64
+# The estimated number of distinct values up to which that is so without doubt.
+SURELY_HELD = 30
+
+
+def few_values(column: str, most: int) -> Column:
+    """The distinct values of a text column, NULL included, if they are at most ``most`` (20 at most); else NULL.
+    An aggregate of two sketches of fixed size, yet the result is exact."""
+    quoted = column.replace("`", "``")
+    items = F.expr(f"approx_top_k(`{quoted}`, {most + 1}, {SKETCH_ITEMS})")
+    values = F.transform(items, lambda x: x["item"])
+    near = F.approx_count_distinct(F.col(f"`{quoted}`"), 0.02) <= SURELY_HELD
+    return F.when(near & (F.size(items) <= most), values)
+
+
+def wide_profile(df: DataFrame, few: int = 0) -> DataFrame:
     """All statistics of all columns in one row, by one aggregate over one scan.
 
     ``n`` is the row count; column i has ``c{i}`` (non-NULL values) and, by its type,
-    ``lo{i}``, ``hi{i}``, ``mean{i}``, ``sd{i}``, ``minlen{i}``, ``maxlen{i}``.
+    ``lo{i}``, ``hi{i}``, ``mean{i}``, ``sd{i}``, ``minlen{i}``, ``maxlen{i}``, and with ``few``
+    texts have ``few{i}``, their distinct values if there are not more than that.
     """
     sums = [F.count(F.lit(1)).alias("n")]
     for i, field in enumerate(df.schema.fields):
@@ -60,6 +77,8 @@ def wide_profile(df: DataFrame) -> DataFrame:
         if type_class(field.dataType) == "String":
             length = F.char_length(value)
             sums += [F.min(length).alias(f"minlen{i}"), F.max(length).alias(f"maxlen{i}")]
+            if few:
+                sums.append(few_values(field.name, few).alias(f"few{i}"))
     return df.agg(*sums)
 
 

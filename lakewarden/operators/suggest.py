@@ -8,14 +8,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lakewarden.operators.profiling import (
-    distinct_counts,
-    is_numeric,
-    is_temporal,
-    type_class,
-    value_histogram,
-    wide_profile,
-)
+from lakewarden.operators.profiling import is_numeric, is_temporal, type_class, wide_profile
 from lakewarden.operators.rules import Rule
 from lakewarden.settings import small_frame
 
@@ -82,24 +75,17 @@ def suggest_rules(
     """Suggested rules of a table: per column, then the row count, then the unique key.
 
     The whole table is profiled; only if the caller gives ``sample_size``, larger tables are
-    profiled on a seeded sample. What reaches the
-    driver is one row of statistics and the values of columns with few distinct values.
+    profiled on a seeded sample. One scan gives all statistics and, by sketches, the values of columns with
+    few distinct ones; one row reaches the driver.
     """
-    spark = df.sparkSession
-    total = df.count()
-    sample = df
-    if sample_size is not None and total > sample_size:
-        sample = df.sample(fraction=sample_size / total, seed=SAMPLE_SEED)
-    stats = wide_profile(sample).first().asDict()
-    strings = [f.name for f in df.schema.fields if type_class(f.dataType) == "String"]
-    few = []
-    if strings:
-        counts = distinct_counts(sample, strings).collect()
-        few = [r["column_name"] for r in counts if r["n_distinct"] < LOW_CARDINALITY]
-    values: dict[str, list[str]] = {}
-    if few:
-        for row in value_histogram(sample, few).collect():
-            values.setdefault(row["column_name"], []).append(row["value"])
+    spark, total, sample = df.sparkSession, None, df
+    if sample_size is not None:
+        total = df.count()
+        if total > sample_size:
+            sample = df.sample(fraction=sample_size / total, seed=SAMPLE_SEED)
+    # NULL counts as a value.
+    stats = wide_profile(sample, few=LOW_CARDINALITY - 1).first().asDict()
+    total = stats["n"] if total is None else total
 
     out = _Suggestions(table_name)
     for i, field in enumerate(df.schema.fields):
@@ -129,8 +115,8 @@ def suggest_rules(
                 f"String length of {name} should be between {short} and {long}",
                 min_value=short, max_value=long, mostly=0.95,
             )
-            if name in values:
-                accepted = sorted(values[name])
+            if stats[f"few{i}"] is not None:
+                accepted = sorted(v for v in stats[f"few{i}"] if v is not None)
                 out.add(
                     name, "accepted_values", "column_values_to_be_in_set",
                     f"Values in {name} should be in {accepted}",

@@ -1,7 +1,9 @@
 import json
 import statistics
 
-from lakewarden.operators.profiling import distinct_counts, profile, value_histogram
+import pytest
+
+from lakewarden.operators.profiling import distinct_counts, few_values, profile, value_histogram
 from lakewarden.operators.quality import evaluate
 from lakewarden.operators.suggest import as_rules, dbt_view, ge_view, suggest_rules
 from examples import transactions
@@ -73,3 +75,22 @@ def test_sampling_keeps_the_full_row_count(spark):
     assert json.loads(rows[0].parameters) == {"min_value": 4000.0, "max_value": 6000.0}
     empty = suggest_rules(df.limit(0), "t").collect()
     assert [r.dbt_rule_name for r in empty].count("not_null") == 6
+
+
+@pytest.mark.parametrize("n", [0, 1, 18, 19, 20, 21, 29, 47, 60, 3000])
+def test_few_values_are_exact(spark, n):
+    """Around the limit, with and without NULL, whatever the number of rows per value."""
+    rows = [(f"v{i % n}", None if i % 5 == 0 else f"v{i % n}") for i in range(5000)] if n else [(None, None)] * 3
+    df = spark.createDataFrame(rows, "`plain` STRING, `with``null` STRING").repartition(5)
+    for name, at in (("plain", 0), ("with`null", 1)):
+        want = {r[at] for r in rows}
+        got = df.agg(few_values(name, 19)).first()[0]
+        assert (set(got) == want and len(got) == len(want)) if len(want) <= 19 else got is None
+
+
+def test_suggestions_take_one_scan(spark, table):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("suggest", "suggest")
+    suggest_rules(table("orders"), "orders")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert len(tracker.getJobIdsForGroup("suggest")) <= 3
