@@ -245,10 +245,10 @@ def with_columns(
     part_size: int = 10_000,
     rows_per_group: int = ROWS_PER_GROUP,
 ) -> DataFrame:
-    """Metadata with ``columns``, the nested list of their columns in order of ``id``.
+    """Metadata with ``columns``, the nested list of their columns in order of ``id``; its key is (bri, part).
 
-    An entity with more than ``part_size`` columns is given in several rows, numbered by
-    ``part``, so that no row grows without bound. An entity without columns has an empty list.
+    ``part`` is 0 for an entity of up to ``part_size`` columns; a larger one has several rows, parts 0, 1 and so on,
+    so that no row grows without bound. An entity without columns has part 0 with an empty list.
     """
     ranked = numbered(columns, ["bri"], ["id"], "_rn", rows_per_group)
     part = ((F.col("_rn") - 1) / part_size).cast("int")

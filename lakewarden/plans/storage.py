@@ -7,12 +7,13 @@ import hashlib
 from pyspark.sql import functions as F
 
 from lakewarden.operators import catalog, registry, suggest
-from lakewarden.operators.quality import evaluate, run_rules
+from lakewarden.operators.quality import run_rules
+from lakewarden.operators.reshape import column_dictionary, unpivot_cells
 from lakewarden.operators.tagging import capitalized, tag_values
 from lakewarden.plans.catalogue import query, read
 from lakewarden.plans.registry import _CURRENT, _changes, _image
 from lakewarden.settings import fresh_path
-from lakewarden.sources import files, tables
+from lakewarden.sources import files, jdbc, tables
 
 # --- catalog tables ------------------------------------------------------------------------------
 
@@ -47,6 +48,48 @@ def catalog_listing(spark, folder):
     return listed.withColumn("dependent_tables", named).drop("database_name")
 
 
+_CATALOGS = {
+    "Hive": {"region": ["r_regionkey", "r_name"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]},
+    "PostgreSQL": {"supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], "nation": ["n_nationkey", "n_name", "n_regionkey"]},
+}
+
+
+@query(f"""WITH cells AS ({' UNION ALL '.join(
+        f"SELECT '{source}' AS source_type, '{t}' AS table_name, '{c}' AS column_name, count({c}) AS n_cells FROM {t}"
+        for source, own in _CATALOGS.items() for t, names in own.items() for c in names)})
+    SELECT source_type, CASE source_type WHEN 'PostgreSQL' THEN 'public' END AS schema_name, table_name, column_name,
+        CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS data_type,
+        'YES' AS is_nullable, n_cells
+    FROM cells JOIN information_schema.columns USING (table_name, column_name)""")
+def unified_catalogs(spark, folder):
+    """Two listings in one: a walk over a catalog, and the query that a database answers about its columns; and the
+    number of cells of each column listed."""
+    listed = []
+    for source, own in _CATALOGS.items():
+        db = _database(spark, folder, f"of_{source.lower()}")
+        for t in own:
+            spark.sql(f"CREATE TABLE {db}.{t} USING parquet LOCATION '{folder}/{t}.parquet'")
+        listed.append(catalog.catalog_metadata(spark, [db], source).filter(F.col("database_name") == db))
+    # What the second database would keep about itself, under the name it would have there.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS information_schema LOCATION '{fresh_path(spark, 'information_schema')}'")
+    columns = listed[1].select(
+        F.lit("shop").alias("table_catalog"), F.lit("public").alias("table_schema"),
+        "table_name", "column_name", "data_type", "is_nullable")
+    columns.write.mode("overwrite").option("path", fresh_path(spark, "columns")).saveAsTable("information_schema.columns")
+    answered = spark.sql(jdbc.columns_query("PostgreSQL"))
+    unified = catalog.unify(listed[0], answered)
+    counts = None
+    for source, own in _CATALOGS.items():
+        for t in own:
+            table = read(spark, folder, t)
+            cells = unpivot_cells(table).groupBy("id").agg(F.count(F.lit(1)).alias("n_cells"))
+            part = cells.join(column_dictionary(table), "id").select(
+                F.lit(t).alias("table_name"), F.col("columnname").alias("column_name"), "n_cells")
+            counts = part if counts is None else counts.unionByName(part)
+    return unified.join(counts, ["table_name", "column_name"]).select(
+        "source_type", "schema_name", "table_name", "column_name", "data_type", "is_nullable", "n_cells")
+
+
 @query("""SELECT o_orderkey, o_orderpriority FROM orders UNION ALL
     SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""")
 def table_round_trip(spark, folder):
@@ -108,17 +151,30 @@ def rules_file(spark, folder):
     return back.select("table_name", "column_name", F.col("dbt_rule_name").alias("rule"))
 
 
-@query("""SELECT count(*) AS n, count(*) - count(DISTINCT o_custkey) > 0 AS repeated,
-    CAST(0.8 * count(*) AS BIGINT) AS fewest FROM orders""")
+_SAMPLED = [
+    ("o_orderkey", "not_null"), ("o_orderkey", "relationships.range"), ("o_orderkey", "expression_is_true"),
+    ("id", "not_null"), ("id", "relationships.range"), ("id", "expression_is_true"),
+    ("o_orderstatus", "not_null"), ("o_orderstatus", "expression_is_true"), ("o_orderstatus", "accepted_values"),
+    ("o_totalprice", "not_null"), ("o_totalprice", "relationships.range"), ("o_totalprice", "expression_is_true"),
+    ("o_orderdate", "not_null"), ("o_orderdate", "expression_is_true"), ("o_orderdate", "expression_is_true"),
+    ("o_orderpriority", "not_null"), ("o_orderpriority", "expression_is_true"), ("o_orderpriority", "accepted_values"),
+    ("ALL_COLUMNS", "row_count"), ("id", "unique"),
+]
+
+
+@query(f"""WITH r AS (SELECT CAST(row_number() OVER () AS INTEGER) AS rule_seq, * FROM (VALUES {', '.join(map(str, _SAMPLED))})
+        t(column_name, rule)),
+    n AS (SELECT count(*) AS n FROM orders)
+    SELECT rule_seq, column_name, rule, CASE WHEN rule = 'row_count' THEN 0.8::DOUBLE * n END AS fewest,
+        CASE WHEN rule = 'row_count' THEN 1.2::DOUBLE * n END AS most FROM r, n""")
 def sampled_suggestions(spark, folder):
-    """Rules from a sample, on request: the bounds of the row count are still those of the whole table."""
+    """Rules from a sample, on request: as many as from the whole table, whose row count they are about."""
     orders = read(spark, folder, "orders").withColumnRenamed("o_custkey", "id")
-    rules = suggest.suggest_rules(orders, "orders", sample_size=100)
-    report = {r.rule_type: r for r in evaluate(orders, suggest.as_rules(rules), examples=0).collect()}
-    fewest = rules.filter("dbt_rule_name = 'row_count'").first()["min_value"]
-    repeated = not report["expect_column_values_to_be_unique"].success
-    counted = orders.agg(F.count(F.lit(1)).alias("n"))
-    return counted.withColumns({"repeated": F.lit(repeated), "fewest": F.lit(int(fewest)).cast("bigint")})
+    rules = suggest.suggest_rules(orders, "orders", sample_size=500)
+    counted = F.col("dbt_rule_name") == "row_count"
+    return rules.select(
+        "rule_seq", "column_name", F.col("dbt_rule_name").alias("rule"),
+        F.when(counted, F.col("min_value")).alias("fewest"), F.when(counted, F.col("max_value")).alias("most"))
 
 
 # --- registry and rule runs ----------------------------------------------------------------------
