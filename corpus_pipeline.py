@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each class of near copies stays."""
-    return simhash.keep_dissimilar(docs)
+    """One document of each class of near copies stays: fingerprints of three-word shingles, linked within three bits."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
