@@ -14,16 +14,6 @@ under the Hamming distance, so fingerprints within ``distance`` bits are a range
   all pairs. A cell with more than ``most`` members is not compared in its task: it is cut again by the exact
   bits of three of six other blocks, and what is still too large by pairs of tiles.
 * **Classes** are connected components (alternating large and small stars), cut by checkpoints.
-
-``near_duplicates`` and ``keep_one`` have the classes of fingerprints of three-word shingles within three bits.
-``keep_dissimilar`` has those of a similarity: Jaccard of the sets of five-word shingles of at least 0.8. Texts that similar differ in 10 of 64
-bits in the mean, which no choice of grid cells holds together, so its candidates come from cells of ``ROWS_OF_BAND``
-minima of the set under random orders (``BANDS`` cells for each text: a pair at 0.8 shares none once in 40,000).
-
-* **Cells of few texts** give their pairs, less those whose sizes or whose fingerprints (first the Manhattan bound,
-  then ``WIDE`` bits) rule the similarity out; the sets of the rest are compared exactly.
-* **Cells of many texts** are compared in tiles of bounded rows and shingles, exactly, and give links that connect
-  all members that are similar, at most one per member and pair of tiles.
 """
 
 from __future__ import annotations
@@ -40,15 +30,11 @@ from pyspark.sql import functions as F
 from lakewarden.llm.common import checkpointed, clean_worker, pieces, table_of, text_bytes
 
 SEED = 42
+SHINGLE, DISTANCE = 3, 3
 SEGMENT = 2
 SHINGLES_AT_ONCE = 1 << 16
 LINKS = "a long, b long, cell long, kind int"
 LOW = 0x5555555555555555
-BANDS, ROWS_OF_BAND = 20, 4
-WIDE = 26  # bits; at a similarity of 0.8 the distance is 10 in the mean with a deviation of 3
-FEW = 16  # members of a cell whose pairs are listed
-TILE_ROWS, TILE_SHINGLES = 2048, 1 << 20
-SKETCH = "node long, fp long, n long, cells array<long>"
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -279,11 +265,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(ids: DataFrame, distance: int = 3, most: int = 4096) -> DataFrame:
     """From (id, fp): per distinct fp, ``root`` (the class) and ``component_id`` (its smallest id)."""
     nodes = checkpointed(ids.groupBy("fp").agg(F.min("id").alias("least")))
-    return _classes(nodes, links(nodes, distance, most))
-
-
-def _classes(nodes: DataFrame, linked: DataFrame) -> DataFrame:
-    linked = components(linked)
+    linked = components(links(nodes, distance, most))
     linked = checkpointed(nodes.join(linked.withColumnRenamed("node", "fp"), "fp"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = linked.join(smallest, "root").select("fp", "root", "component_id")
@@ -292,217 +274,36 @@ def _classes(nodes: DataFrame, linked: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", distance: int = 3) -> DataFrame:
-    """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id (the smallest id of all
-    texts that can be reached over links of at most ``distance`` differing bits).
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
+    """One row per row of ``docs``: id, fingerprint of its shingles of ``shingle`` words (16 hex digits),
+    component_id (the smallest id of all texts that can be reached over links of at most ``distance`` differing bits).
 
     NULL and empty texts have fingerprint zero and are linked like any other. A NULL id takes part, but is
     not the smallest unless its class has no other; repeated rows are repeated in the result. Other
     columns are not read. An empty table gives an empty result.
     """
     ids = docs.select(F.col(id).alias("id"), F.col(text).alias("_text"))
-    ids = table_of(ids.select("id", fingerprint_column(F.col("_text")).alias("fp")), "fingerprints")
+    ids = table_of(ids.select("id", fingerprint_column(F.col("_text"), shingle).alias("fp")), "fingerprints")
     got = ids.join(classes(ids, distance), "fp", "left")
     return got.select(
         F.col("id").alias(id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", distance: int = 3) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
     """The rows of ``docs`` with one document of each class: the one with the smallest id (of repeated
     rows with that id, one). A NULL id comes last. Columns stay as they are."""
     columns = docs.columns
     keyed = docs.toDF(*[f"c{i}" for i in range(len(columns))])
     key, body = F.col(f"c{columns.index(id)}"), F.col(f"c{columns.index(text)}")
     keyed = keyed.withColumns({"_k": F.xxhash64(key), "_t": F.xxhash64(body)})
-    ids = keyed.select(key.alias("id"), "_k", "_t", fingerprint_column(body).alias("fp"))
+    ids = keyed.select(key.alias("id"), "_k", "_t", fingerprint_column(body, shingle).alias("fp"))
     ids = table_of(ids, "fingerprints")
     first = ids.join(classes(ids, distance), "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("root").agg(F.min(F.struct("_k", "_t")).alias("_c")).select("_c._k", "_c._t")
     kept = keyed.join(chosen, ["_k", "_t"], "left_semi").dropDuplicates(["_k", "_t"])
     return kept.drop("_k", "_t").toDF(*columns)
-
-
-def shingles(text: bytes, shingle: int) -> np.ndarray:
-    """The hashes of all word shingles. A text of fewer words is one shingle, a text without words has none."""
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    words, parts = [], []
-    for piece in pieces(text):
-        words += piece.lower().split()
-        if len(words) >= shingle:
-            runs = zip(*(words[i:] for i in range(shingle)))
-            parts.append(np.array([digest(join(run), SEED) for run in runs], np.uint64))
-            words = words[len(words) - shingle + 1 :]
-    if not parts and words:
-        parts.append(np.array([digest(join(words), SEED)], np.uint64))
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-
-
-def sketch(text: bytes, shingle: int) -> tuple[int, int, int, list[int]]:
-    """Of the set of shingles: a number that stands for it, the fingerprint, the size and the cells."""
-    every = shingles(text, shingle)
-    counts = np.zeros(64, np.int64)
-    n = _add_bits(counts, every)
-    fp = np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0]
-    own = np.unique(every)
-    least = np.full(BANDS * ROWS_OF_BAND, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(own), 1024):
-        orders = (own[at : at + 1024, None] ^ _ORDERS[0]) * _ORDERS[1]
-        least = np.minimum(least, orders.min(axis=0))
-    cells = [
-        xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(least.reshape(BANDS, ROWS_OF_BAND))
-    ] if len(own) else []
-    return _long(xxhash.xxh64_intdigest(own.tobytes(), SEED)), int(fp), len(own), [_long(c) for c in cells]
-
-
-_ORDERS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS_OF_BAND), np.uint64)
-_ORDERS[1] |= np.uint64(1)
-
-
-def _long(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def sketch_column(text: Column, shingle: int) -> Column:
-    clean = clean_worker()
-
-    @F.arrow_udf(SKETCH)
-    def sketches(column: pa.Array) -> pa.Array:
-        clean()
-        got = []
-        for at in range(0, len(column), 512):
-            got += [sketch(t, shingle) for t in text_bytes(column.slice(at, 512))]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-        parts = list(zip(*got)) or [[]] * 4
-        return pa.StructArray.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(parts, kinds)], ["node", "fp", "n", "cells"]
-        )
-
-    return sketches.asNondeterministic()(text)
-
-
-def set_column(text: Column, shingle: int) -> Column:
-    """The set of shingles, as the bytes of its sorted hashes."""
-
-    @F.arrow_udf("binary")
-    def sets(column: pa.Array) -> pa.Array:
-        got = []
-        for at in range(0, len(column), 512):
-            got += [np.unique(shingles(t, shingle)).tobytes() for t in text_bytes(column.slice(at, 512))]
-        return pa.array(got, pa.binary())
-
-    return sets(text)
-
-
-def _similar(both: np.ndarray | int, a: np.ndarray | int, b: np.ndarray | int, similarity: float):
-    return both >= similarity * (a + b - both) - 1e-9
-
-
-def _are_similar(a: Column, b: Column, similarity: float) -> Column:
-    @F.arrow_udf("boolean")
-    def compared(one: pa.Array, other: pa.Array) -> pa.Array:
-        got = []
-        for x, y in zip(one, other):
-            x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            got.append(bool(_similar(both, len(x), len(y), similarity)))
-        return pa.array(got, pa.bool_())
-
-    return compared(a, b)
-
-
-def set_tree(sets: list[np.ndarray], side: np.ndarray | None, similarity: float) -> list[tuple[int, int]]:
-    """Links (by place) that connect all sets that are similar, at most one per set. With ``side``, links between
-    its two values are found."""
-    sizes = np.array([len(x) for x in sets])
-    values, items = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.cumsum(np.r_[0, sizes])
-    marked, rest, found = np.zeros(len(values), bool), np.arange(len(sets)), []
-    while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            at = queue.pop()
-            own = items[starts[at] : starts[at + 1]]
-            marked[own] = True
-            may = _similar(np.minimum(sizes[rest], sizes[at]), sizes[rest], sizes[at], similarity)
-            if side is not None:
-                may &= side[rest] != side[at]
-            hit = [
-                int(i) for i in rest[may]
-                if _similar(int(np.count_nonzero(marked[items[starts[i] : starts[i + 1]]])), sizes[i], sizes[at], similarity)
-            ]
-            marked[own] = False
-            found += [(at, i) for i in hit]
-            queue += hit
-            rest = rest[~np.isin(rest, hit)]
-    return found
-
-
-def _large_cells(members: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) in cells of many members (cell, node, n, set): each pair of tiles of a cell is one group."""
-    tiles = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / TILE_SHINGLES)).cast("int")
-    tiled = members.join(members.groupBy("cell").agg(tiles.alias("tiles")), "cell")
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    pairs = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "cell", "node", "set", "tile", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q")
-    )
-
-    def link(table: pa.Table) -> pa.Table:
-        node, tile = table["node"].to_numpy(), table["tile"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in table["set"].to_pylist()]
-        one = table["p"][0].as_py() == table["q"][0].as_py()
-        found = np.array(set_tree(sets, None if one else tile, similarity), np.int64).reshape(-1, 2)
-        a, b = node[found[:, 0]], node[found[:, 1]]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
-
-    return pairs.groupBy("cell", "p", "q").applyInArrow(link, "a long, b long")
-
-
-def similar_links(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` (node, fp, n, cells, _t) that connect all that are similar; ``texts`` (_t, text) has
-    the text of each."""
-    cells = nodes.select("node", "fp", "n", F.explode("cells").alias("cell"))
-    counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    cells = table_of(cells.join(checkpointed(counts), "cell"), "cells")
-    listed = cells.filter(F.col("members") <= FEW).groupBy("cell").agg(
-        F.collect_list(F.struct("node", "fp", "n")).alias("m"))
-    pairs = listed.select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(
-        F.filter("m", lambda y: y["node"] > x["node"]), lambda y: F.struct(x.alias("x"), y.alias("y")))))).alias("p"))
-    x, y = F.col("p.x"), F.col("p.y")
-    fits = F.least(x["n"], y["n"]) >= similarity * F.greatest(x["n"], y["n"]) - 1e-9
-    near = F.bit_count(vector_column(x["fp"]).bitwiseXOR(vector_column(y["fp"]))) <= WIDE
-    near = near & (F.bit_count(x["fp"].bitwiseXOR(y["fp"])) <= WIDE)
-    pairs = pairs.filter(fits & near).select(x["node"].alias("a"), y["node"].alias("b")).distinct()
-    pairs = table_of(pairs, "pairs")
-    large = cells.filter(F.col("members") > FEW).select("cell", "node", "n")
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node")).distinct()
-    wanted = nodes.join(named, "node", "left_semi").select("node", "_t")
-    sets = texts.join(wanted, "_t").dropDuplicates(["node"]).select("node", set_column(F.col("text"), shingle).alias("set"))
-    sets = table_of(sets, "shingle-sets")
-    both = pairs.join(sets.toDF("a", "_a"), "a").join(sets.toDF("b", "_b"), "b")
-    found = both.withColumn("_s", _are_similar(F.col("_a"), F.col("_b"), similarity)).filter("_s").select("a", "b")
-    return table_of(found.union(_large_cells(large.join(sets, "node"), similarity)).distinct(), "links")
-
-
-def keep_dissimilar(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """The rows of ``docs`` with one document of each class: the one with the smallest id (of repeated
-    rows with that id, one). A class is what can be reached over pairs whose sets of word shingles have a Jaccard
-    similarity of at least ``similarity``; texts without words are one class. A NULL id comes last. Columns stay
-    as they are."""
-    columns = docs.columns
-    keyed = docs.toDF(*[f"c{i}" for i in range(len(columns))])
-    key, body = F.col(f"c{columns.index(id)}"), F.col(f"c{columns.index(text)}")
-    keyed = keyed.withColumns({"_k": F.xxhash64(key), "_t": F.xxhash64(body)})
-    ids = keyed.select(key.alias("id"), "_k", "_t", sketch_column(body, shingle).alias("_s"))
-    ids = table_of(ids.select("id", "_k", "_t", "_s.*"), "sketches")
-    nodes = ids.groupBy("node").agg(*[F.min(c).alias(c) for c in ("id", "_t", "fp", "n", "cells")])
-    nodes = checkpointed(nodes)
-    found = similar_links(nodes, keyed.select("_t", body.alias("text")), shingle, similarity)
-    grouped = _classes(nodes.select(F.col("node").alias("fp"), F.col("id").alias("least")), found)
-    ids = ids.select("id", "_k", "_t", F.col("node").alias("fp"))
-    first = ids.join(grouped, "fp").filter(F.col("id").eqNullSafe(F.col("component_id")))
-    chosen = first.groupBy("root").agg(F.min(F.struct("_k", "_t")).alias("_c")).select("_c._k", "_c._t")
-    kept = keyed.join(chosen, ["_k", "_t"], "left_semi").dropDuplicates(["_k", "_t"])
-    return kept.drop("_k", "_t").toDF(*columns)
