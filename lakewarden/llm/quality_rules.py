@@ -8,7 +8,7 @@ Everything is DataFrame functions: there is no Python in the tasks.
   shares of symbols, of repeats and of capitals). Location and scatter are minimum-covariance-determinant
   estimates per language and source: starting from medians, each concentration step takes the share ``KEPT`` of
   rows with the smallest Mahalanobis distance and estimates anew from them. A text whose distance exceeds
-  ``LIMIT`` is rejected. Groups of fewer than ``LEAST`` rows use the estimate of their language, or of all.
+  ``LIMIT`` is rejected. Groups of fewer than ``LEAST`` rows use the estimate of their whole language, or of all rows.
 * **Scale.** A step is two aggregates with partial sums over the small table of coordinates; hot groups are
   summed before they are moved. Medians and quantiles are exact ones of rounded values, so that their memory is
   bounded and reruns agree. Rows meet the estimates of their group by a broadcast while those are few.
@@ -182,19 +182,33 @@ def estimate(rows: DataFrame, steps: int = STEPS) -> tuple[DataFrame, bool]:
     return checkpointed(found.join(scale, "cell")), few
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Add ``cell``: language and source, or language, or all, whichever has enough rows that passed."""
-    counts = checkpointed(rows.filter("NOT base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")))
-    langs = counts.groupBy("lang").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+def _cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``cell``, rows to estimate from).
+
+    ``cell`` is language and source, or language, or all, whichever has enough rows that passed. The estimate of a
+    language is made from all its rows that passed, that of all from all of them: a row is given once for its own
+    cell and once for each wider one that some rare source needs.
+    """
+    counts = rows.filter("NOT base_failed").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     name = lambda *c: F.concat_ws("/", *[F.coalesce(F.concat(F.lit("="), x), F.lit("?")) for x in c])
-    small = counts.filter(F.col("n") >= LEAST).select(name(F.col("lang"), F.col("source")).alias("_own"), F.lit(1).alias("_a"))
-    large = langs.select(name(F.col("lang")).alias("_lang"), F.lit(1).alias("_b"))
-    few = counts.count() <= FEW_GROUPS
-    put = F.broadcast if few else (lambda x: x)
-    out = rows.withColumns({"_own": name(F.col("lang"), F.col("source")), "_lang": name(F.col("lang"))})
-    out = out.join(put(small), "_own", "left").join(put(large), "_lang", "left")
-    cell = F.when(F.col("_a") == 1, F.col("_own")).when(F.col("_b") == 1, F.col("_lang")).otherwise(F.lit("all"))
-    return out.withColumn("cell", cell).drop("_own", "_lang", "_a", "_b")
+    counts = counts.select(name(F.col("lang"), F.col("source")).alias("_own"), name(F.col("lang")).alias("_lang"), "n")
+    langs = counts.groupBy("_lang").agg(F.sum("n").alias("_n"), (F.min("n") < LEAST).alias("_rare"))
+    # One row per language and source; languages are few beside them.
+    groups = counts.join(langs, "_lang")
+    own, lang, every = F.col("_own"), F.col("_lang"), F.lit("all")
+    enough = F.col("_n") >= LEAST
+    groups = groups.select(
+        "_own",
+        F.when(F.col("n") >= LEAST, own).when(enough, lang).otherwise(every).alias("cell"),
+        F.array_compact(F.array(F.when(F.col("n") >= LEAST, own), F.when(enough & F.col("_rare"), lang))).alias("_feeds"),
+    )
+    groups = checkpointed(groups)
+    any_all = not groups.filter("cell = 'all'").isEmpty()
+    put = F.broadcast if groups.count() <= FEW_GROUPS else (lambda x: x)
+    out = rows.withColumn("_own", name(F.col("lang"), F.col("source"))).join(put(groups), "_own", "left")
+    feeds = F.concat("_feeds", F.array(every)) if any_all else F.col("_feeds")
+    sources = out.filter("NOT base_failed").withColumn("cell", F.explode(feeds)).drop("_own", "_feeds")
+    return out.withColumn("cell", F.coalesce("cell", every)).drop("_own", "_feeds"), sources
 
 
 def judge(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
@@ -212,9 +226,9 @@ def judge(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     ).select("doc_id", "lang", "source", "_w.*", "_l.*", "n_symbols", "n_upper")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATS * F.col("n_words"))
     got = table_of(got.withColumn("base_failed", failed), "statistics")
-    rows = _cells(got).withColumns(dict(zip(X, coordinates())))
-    rows = table_of(rows, "coordinates")
-    estimates, few = estimate(rows.filter("NOT base_failed").select("cell", *X))
+    rows = table_of(got.withColumns(dict(zip(X, coordinates()))), "coordinates")
+    rows, sources = _cells(rows)
+    estimates, few = estimate(table_of(sources.select("cell", *X), "samples"))
     judged = _meet(rows, estimates, few).withColumn("distance", _squared_distance() / F.col("scale"))
     distance = F.when(~F.col("base_failed"), F.col("distance"))
     return judged.select(
