@@ -6,8 +6,11 @@ source or size. Categories lie at the hash of their name, sizes at their logarit
 
 * **Ties.** A category may hold most of the data, so a split also goes through one value: rows of the same value
   are in the order of a hash of their text. Rows with equal texts therefore stay together; they also share the
-  metadata of one of them. Only where the copies of a text fill more than ``1 / PARTS`` of a shard the hash is
-  that of text and id.
+  metadata of one of them.
+* **Large groups.** Copies of a text that fill more than ``1 / PARTS`` of a shard cannot lie between two cuts
+  without tilting the shards, so these groups, at most ``PARTS`` a shard, are dealt first: the largest one goes to the
+  emptiest shard, whole. Only a group larger than a shard is torn, into as few parts as that takes. The leaves of the
+  tree then share the other rows in proportion to the room that is left.
 * **Distributed medians.** A place in a dimension is one 63-bit number. All nodes of a level are searched
   together: each pass is one aggregate of bytes per node and bin, and the bin with the median is cut again until
   the error is below ``1 / PARTS`` of a shard's bytes, or a bin has one value. The driver sees at most nodes x bins
@@ -57,10 +60,9 @@ def _leaves(node: Node) -> list[Node]:
     return [node] if node.left is None else _leaves(node.left) + _leaves(node.right)
 
 
-def rows_of(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Per row: id, size, crc, _k and _t (hashes of id and text), and the place in every dimension."""
+def _slim(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    slim = docs.select(
+    return docs.select(
         F.col("doc_id").alias("id"),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text).alias("crc"),
@@ -69,34 +71,76 @@ def rows_of(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
     )
-    slim = table_of(slim, "metadata")
+
+
+def homes(groups: list[tuple[tuple, int]], total: int, shards: int) -> dict[tuple, list[int]]:
+    """For large groups (key, bytes) the shards of their parts: larger parts first, each to the emptiest shard."""
+    parts = []
+    for key, size in groups:
+        n = max(1, -(-size * shards // max(total, 1)))  # as few as fit a shard
+        parts += [(size / n, key)] * n
+    load, found = [0.0] * shards, {key: [] for key, _ in groups}
+    for size, key in sorted(parts, reverse=True):
+        at = min(range(shards), key=lambda i: (load[i], i))
+        load[at] += size
+        found[key].append(at)
+    return found
+
+
+def room_left(load: list[int], total: int) -> list[float]:
+    """The room of every shard that lifts all shards to one level, as far as that is possible."""
+    rest, lowest, level = total - sum(load), sorted(load), 0.0
+    for n in range(1, len(load) + 1):
+        level = (rest + sum(lowest[:n])) / n
+        if n == len(load) or level <= lowest[n]:
+            break
+    return [max(0.0, level - x) for x in load]
+
+
+def rows_of(docs: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, list[float]]:
+    """Per row: id, size, crc, _k and _t (hashes of id and text), ``home`` (the shard of a row of a large group) and
+    for the others the place in every dimension; and the room of each shard for these others."""
+    slim = table_of(_slim(docs), "metadata")
     total = slim.agg(F.sum("size")).first()[0] or 0
     group = ["_t", "crc", "size"]
     copies = slim.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.struct("lang", "source")).alias("_meta"),
-        (F.sum("size") > total / shards / PARTS).alias("_heavy"),
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("lang", "source")).alias("_meta"), F.sum("size").alias("_bytes")
     )
-    both = slim.join(copies.filter("_n > 1").drop("_n"), group, "left")
-    tie = F.when(F.col("_heavy"), position("_t", "_k")).otherwise(position("_t"))
-    lang, source = F.coalesce("_meta.lang", "lang"), F.coalesce("_meta.source", "source")
-    return table_of(
-        both.select(
-            "id",
-            "size",
-            "crc",
-            "_k",
-            "_t",
-            _place(position(F.lit("lang"), lang), tie).alias("k_lang"),
-            _place(position(F.lit("source"), source), tie).alias("k_source"),
-            _place(F.log2("size") / 64.0, tie).alias("k_size"),
-        ),
-        "places",
-    )
-
-
-def grow(rows: DataFrame, shards: int = SHARDS) -> Node:
-    """The tree of ``shards`` leaves."""
+    copies = table_of(copies.filter("_n > 1"), "copies")
+    heavy = F.col("_bytes") > total / shards / PARTS
+    # At most shards x PARTS groups.
+    large = [((r["_t"], r["crc"], r["size"]), r["_bytes"]) for r in copies.filter(heavy).collect()]
+    found = homes(sorted(large), total, shards)
+    schema = "_t long, crc long, size long, _homes array<int>"
+    dealt = docs.sparkSession.createDataFrame([(*key, at) for key, at in found.items()], schema)
+    marked = slim.join(F.broadcast(dealt), group, "left")
+    part = F.floor(position("_t", "_k") * F.size("_homes")).cast("int")
+    home = F.when(F.col("_homes").isNotNull(), F.get("_homes", part))
+    apart = marked.filter("_homes IS NOT NULL").withColumn("home", home)
+    # The parts of a torn group are as equal as hashes of ids are; what counts is what they really hold.
+    held = {r["home"]: r["load"] for r in apart.groupBy("home").agg(F.sum("size").alias("load")).collect()}
+    room = room_left([held.get(i, 0) for i in range(shards)], total)
+    both = marked.filter("_homes IS NULL").join(copies.filter(~heavy).select(*group, "_meta"), group, "left")
+    lang, source, tie = F.coalesce("_meta.lang", "lang"), F.coalesce("_meta.source", "source"), position("_t")
+    places = {
+        "k_lang": _place(position(F.lit("lang"), lang), tie),
+        "k_source": _place(position(F.lit("source"), source), tie),
+        "k_size": _place(F.log2("size") / 64.0, tie),
+    }
+    own = ["id", "size", "crc", "_k", "_t"]
+    light = both.select(*own, F.lit(None).cast("int").alias("home"), *[c.alias(k) for k, c in places.items()])
+    rest = apart.select(*own, "home", *[F.lit(None).cast("long").alias(k) for k in places])
+    return table_of(light.unionByName(rest), "places"), room
+
+
+def _left_share(node: Node, room: list[float]) -> float:
+    own = room[node.first : node.first + node.shards]
+    return sum(own[: node.shards // 2]) / sum(own) if sum(own) else node.shards // 2 / node.shards
+
+
+def grow(rows: DataFrame, room: list[float]) -> Node:
+    """The tree with a leaf for every shard; leaves hold bytes in proportion to ``room``."""
+    rows, shards = rows.filter("home IS NULL"), len(room)
     root = Node(shards, 0)
     while True:
         open_nodes = [n for n in _leaves(root) if n.shards > 1]
@@ -116,7 +160,7 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Node:
             ranges[i] = [r[f"min_{node.key}"], r[f"max_{node.key}"], 0] if r else [0, 0, 0]
             if r is None or ranges[i][0] == ranges[i][1]:  # no rows, or one place: all go left
                 node.cut = ranges[i][1] + 1
-        want = {i: stats[i]["w"] * (n.shards // 2) / n.shards for i, n in node_of.items() if i in stats}
+        want = {i: stats[i]["w"] * _left_share(n, room) for i, n in node_of.items() if i in stats}
         searching = {i for i, n in node_of.items() if ranges[i][0] < ranges[i][1]}
         while searching:
             cases = None
@@ -154,11 +198,15 @@ def grow(rows: DataFrame, shards: int = SHARDS) -> Node:
             node.left, node.right = Node(half, node.first), Node(node.shards - half, node.first + half)
 
 
-def assign(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
+def _sharded(rows: DataFrame, room: list[float]) -> DataFrame:
+    tree = grow(rows, room)
+    leaf = _route(tree, {id(n): n.first for n in _leaves(tree)})
+    return rows.withColumn("shard", F.coalesce("home", leaf).cast("int"))
+
+
+def assign(rows: DataFrame, room: list[float]) -> DataFrame:
     """Add shard and slot to the frame of ``rows_of``."""
-    tree = grow(rows, shards)
-    placed = rows.withColumn("shard", _route(tree, {id(n): n.first for n in _leaves(tree)}).cast("int"))
-    placed = placed.withColumn("_at", position("_k", "_t"))
+    placed = _sharded(rows, room).withColumn("_at", position("_k", "_t"))
     return numbered(placed, ["shard"], "_at", ["_k", "_t"], "slot")
 
 
@@ -170,7 +218,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     documents are one text with one id, they cannot be told apart and share a shard. Only doc_id, text, lang
     and source are read. An empty table gives an empty result.
     """
-    return assign(rows_of(docs, shards), shards).select(
+    return assign(*rows_of(docs, shards)).select(
         F.col("id").alias("doc_id"),
         "size",
         F.col("crc").alias("text_crc32"),
@@ -185,9 +233,7 @@ def with_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with their shard and slot. Rows that agree in id and text have neighbouring slots; texts are
     moved once, to meet them."""
     columns = docs.columns
-    rows = rows_of(docs, shards)
-    tree = grow(rows, shards)
-    placed = rows.withColumn("shard", _route(tree, {id(n): n.first for n in _leaves(tree)}).cast("int"))
+    placed = _sharded(*rows_of(docs, shards))
     placed = placed.groupBy("_k", "_t").agg(F.min("shard").alias("shard"), F.count(F.lit(1)).alias("_n"))
     placed = placed.withColumn("_at", position("_k", "_t"))
     placed = numbered(placed, ["shard"], "_at", ["_k", "_t"], "slot", weight="_n")
