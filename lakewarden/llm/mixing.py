@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewarden.llm.common import checkpointed, clean_worker, numbered, pieces, position, table_of, text_bytes
+from lakewarden.operators.skew import numbered as in_order
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -46,39 +47,49 @@ def size_column(text: Column) -> Column:
     return sizes.asNondeterministic()(text)
 
 
+def _bits(x: int) -> np.ndarray:
+    raw = np.frombuffer(x.to_bytes((x.bit_length() + 7) // 8, "little"), np.uint8)
+    return np.flatnonzero(np.unpackbits(raw, bitorder="little"))
+
+
 def nearest_sum(sizes: Sequence[int], counts: Sequence[int], budget: int, over: bool = True) -> list[int]:
     """How many of each size to take so that the sum is as near to the budget as any can be (of two equally near
     ones, the lower); with ``over`` false, not above it.
 
-    Bounded knapsack: counts are split into powers of two; reachable sums are bits of an integer.
+    Bounded knapsack: counts are split into powers of two; reachable sums are bits of an integer of at most twice the
+    budget. For every sum only the lot that first reached it is kept. Of sizes above the budget only the smallest one
+    can be nearest, and only by itself.
     """
-    lots = []  # (index, how many at once)
+    lots, taken = [], [0] * len(sizes)  # (index, how many at once)
     for i, (size, count) in enumerate(zip(sizes, counts)):
-        count = min(count, budget // size + over) if size else 0
+        count = min(count, budget // size + over) if 0 < size <= budget else 0
         step = 1
         while count > 0:
             lots.append((i, min(step, count)))
             count -= lots[-1][1]
             step *= 2
     # A nearest sum above the budget is less than one size above it.
-    full = (1 << (budget + (max(sizes, default=0) if over else 0) + 1)) - 1
-    steps, reached = [], 1
-    for i, n in lots:
-        after = (reached | reached << (sizes[i] * n)) & full
-        if after != reached:
-            steps.append((i, n, reached))
-            reached = after
+    width = budget + (max((sizes[i] for i, _ in lots), default=0) if over else 0) + 1
+    full, reached, first = (1 << width) - 1, 1, np.zeros(width, np.int32)
+    for k, (i, n) in enumerate(lots):
+        new = (reached << sizes[i] * n) & full & ~reached
+        if new:
+            first[_bits(new)] = k
+            reached |= new
         if reached >> budget & 1:
             break
     best = (reached & ((1 << (budget + 1)) - 1)).bit_length() - 1
     above = reached >> (budget + 1)
     if above and (above & -above).bit_length() < budget - best:
         best = budget + (above & -above).bit_length()
-    taken = [0] * len(sizes)
-    for i, n, before in reversed(steps):
-        if not before >> best & 1:
-            taken[i] += n
-            best -= sizes[i] * n
+    large = [(size, i) for i, (size, count) in enumerate(zip(sizes, counts)) if over and count > 0 and size > budget]
+    if large and min(large)[0] - budget < abs(budget - best):
+        taken[min(large)[1]] = 1
+        return taken
+    while best:
+        i, n = lots[first[best]]
+        taken[i] += n
+        best -= int(sizes[i]) * n
     return taken
 
 
@@ -114,11 +125,11 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int = WINDOW
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """Add ``target`` to (source, size): the budget is the sum of all sizes. One small aggregate per round; a
     round stops at least one more source at its bound, or ends."""
-    by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("_i"))
-    sources = checkpointed(
-        sources.withColumn("_i", (F.row_number().over(by_name) - 1) % len(weights) + 1).withColumn("_w", weight)
-    )
+    # One row per source; very many are numbered by ranges.
+    named = in_order(sources.withColumn("_null", F.col("source").isNull()), [], ["_null", "source"], "_n")
+    sources = named.withColumn("_i", ((F.col("_n") - 1) % len(weights) + 1).cast("int")).withColumn("_w", weight)
+    sources = checkpointed(sources.drop("_null", "_n"))
     bound, level, capped = F.col("size") * float(most), 0.0, -1
     total = sources.agg(F.sum("size")).first()[0] or 0
     while True:
