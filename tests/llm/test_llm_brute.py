@@ -266,6 +266,87 @@ def test_follow_the_leader_keeps_few_weights():
     assert w[1] > 0.5 and w[0] < -0.5
 
 
+def test_nearest_sum_of_many_large_sizes():
+    """Against all sums, and in memory that does not grow with the sizes above the budget."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    for _ in range(300):
+        sizes = rng.sample(range(1, 40), rng.randint(1, 5))
+        counts, budget = [rng.randint(0, 3) for _ in sizes], rng.randint(1, 60)
+        for over in (True, False):
+            sums = {sum(a * b for a, b in zip(sizes, t)) for t in itertools.product(*[range(c + 1) for c in counts])}
+            want = min((x for x in sums if over or x <= budget), key=lambda x: (abs(x - budget), x))
+            got = mixing.nearest_sum(sizes, counts, budget, over)
+            assert all(0 <= g <= c for g, c in zip(got, counts)) and sum(a * b for a, b in zip(sizes, got)) == want
+    tracemalloc.start()
+    sizes = [999_000 + i for i in range(1000)] + list(range(30_000, 31_000))
+    got = mixing.nearest_sum(sizes, [3] * len(sizes), 65_000)
+    assert sum(a * b for a, b in zip(sizes, got)) == 65_000 - min(65_000 - 2 * x for x in range(30_000, 31_000))
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+
+
+def test_groups_that_fit_a_shard_stay_together(spark):
+    """Groups of copies from small ones to several shards' worth, beside single texts: whole where they fit, in as few
+    shards as possible where not, and shards of near-equal bytes."""
+    rng = random.Random(12)
+    text = lambda i, n: f"g{i} " + "".join(rng.choice("abcdefgh ") for _ in range(n))
+    rows, groups = [], {"third": 1500, "large": 380, "half": 200, "tenth": 45, "few": 4, "two": 2}
+    for i, (name, n) in enumerate(groups.items()):
+        body = text(i, 300)
+        rows += [(body, "en" if j % 2 else "de", f"s{j % 7}") for j in range(n)]
+    rows += [(text(100 + i, rng.randint(50, 600)), rng.choice(["en", "fr"]), f"s{rng.randrange(9)}") for i in range(2000)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = sharding.shard_documents(docs, 10).collect()
+    size, held = collections.Counter(), collections.defaultdict(set)
+    for r in got:
+        size[r.shard] += r.size
+        held[rows[r.doc_id][0]].add(r.shard)
+    mean = sum(size.values()) / 10
+    weight = collections.Counter()
+    for r in got:
+        weight[rows[r.doc_id][0]] += r.size
+    assert all(len(s) <= math.ceil(weight[t] / mean) for t, s in held.items())
+    assert max(weight.values()) > 3 * mean and sum(len(s) > 1 for s in held.values()) == 1
+    assert 0.95 * mean < min(size.values()) and max(size.values()) < 1.05 * mean
+    for shard in size:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+
+
+def test_homes_of_large_groups():
+    found = sharding.homes([(("a",), 250), (("b",), 60), (("c",), 30)], 1000, 10)
+    assert len(found["a",]) == 3 and len(found["b",]) == len(found["c",]) == 1
+    assert len({*found["a",], *found["b",], *found["c",]}) == 5
+    assert len(sharding.homes([(("a",), 990)], 1000, 4)["a",]) == 4 and sharding.homes([], 0, 3) == {}
+    assert np.allclose(sharding.room_left([0, 10, 90, 20], 160), [70 / 3, 40 / 3, 0, 10 / 3])
+    assert sharding.room_left([0, 0, 0], 0) == [0.0, 0.0, 0.0]
+
+
+def test_lone_outliers_are_judged_by_their_language(spark):
+    """The same texts in a large source, in one-row sources and in a language of few rows: rare ones are held against
+    their whole language, or all rows, never against themselves."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(3, 8)))
+    plain = lambda: " ".join(word() for _ in range(rng.randint(80, 220)))
+    junk = " ".join(word().upper() + "#$%&" * 6 for _ in range(150))
+    rows = [(i, plain(), "en", "large") for i in range(300)] + [(300 + i, plain(), "de", "other") for i in range(120)]
+    rows += [(500, junk, "en", "large"), (501, junk, "en", "alone"), (502, junk, "xx", "alone"), (503, junk, None, None)]
+    rows += [(510, plain(), "en", "rare"), (511, plain(), "xx", "rare"), (512, plain(), None, "rare")]
+    got = {r.doc_id: r for r in quality_rules.judge(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i].kept for i in (500, 501, 502, 503)) and all(got[i].kept for i in (510, 511, 512))
+    assert {got[i].cell for i in (501, 510)} == {"=en"} and {got[i].cell for i in (502, 503, 511, 512)} == {"all"}
+    assert min(got[i].distance for i in (501, 502, 503)) > 0.5 * got[500].distance > quality_rules.LIMIT
+    clean = [got[i].kept for i in range(420)]
+    assert sum(clean) > 0.99 * len(clean)
+    # The wide estimates come from all rows, as if there were no sources or languages at all.
+    whole = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(
+        [(i, t, "en", "one") for i, t, lang, _ in rows if lang == "en"], "doc_id long, text string, lang string, source string")).collect()}
+    assert all(math.isclose(whole[i].distance, got[i].distance, rel_tol=1e-9) for i in (501, 510))
+
+
 def test_rules_base(docs, texts):
     for r in quality_rules.judge(docs).collect():
         t = texts[r.doc_id]
