@@ -10,13 +10,14 @@ compared in lower case (A-Z) and without ASCII punctuation.
 * **Embedding.** A random walk copies the current word to the output and moves on, or stays, by a random bit
   that depends on step and word. Texts at a small edit distance fall into step again, so their outputs have
   a small Hamming distance.
-* **Bit sampling.** Each of ``walks * samples`` repetitions takes ``width`` positions of a walk's output as a
-  key; a window and an item meet if any key is equal.
-* **Verification.** Pairs that met are verified by banded edit distance with a free end. For each document and
-  item the best run is reported; of several, the first.
-* **Nothing is missed.** The fewer edits the best of these has, the more triples a better run must hold. The windows
-  that hold as many (where none met: as many as any match) are verified too, so recall does not depend on the
-  samples, at any length of an item.
+* **Bit sampling.** Each repetition takes ``width`` positions of a walk's output as a key; a window and an item meet
+  if any key is equal. How many repetitions an item length needs follows from how far outputs agree after the most
+  edits that it allows (``plan``): as many as reach the target recall even then. Only pairs that met are candidates.
+  A length for which ``MOST`` repetitions a walk do not suffice (items of some thousand words) is searched exactly: all
+  its windows that hold enough triples are candidates.
+* **Verification.** Candidates are verified by banded edit distance with a free end. For each document and item the
+  best run is reported; of several, the first: around an item that was found, the windows that could hold a better
+  run (the fewer edits the found one has, the more triples that takes) are verified too.
 
 Documents are read once and not shuffled. The benchmark is a query set: it is sent to the tasks in blocks of
 at most ``block_bytes`` of text, one scan of the documents per block.
@@ -25,8 +26,8 @@ at most ``block_bytes`` of text, one scan of the documents per block.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,9 @@ HITS = "doc_id long, item_id long, first_word int, last_word int, edits int, ite
 BITS = 18
 SLOTS = 4096
 VERIFIED_AT_ONCE = 4096
+SHARE, TARGET, WALKS, SEED = 0.2, 0.999, 4, 7
+WIDTHS, MOST, TRIALS = (3, 2, 1), 64, 48
+WORDS_AT_ONCE = 1 << 18
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -70,11 +74,50 @@ def walk(symbols: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndarr
     return out
 
 
+@lru_cache(4096)
+def plan(n: int, k: int, target: float, walks: int, seed: int) -> tuple[int, int] | None:
+    """(width, samples a walk) with which a run at k edits from an item of n words meets it with the target
+    probability; None if that takes more than MOST samples.
+
+    Measured on made-up items: TRIALS of them get k random edits, and each walk's output is compared with that of the
+    unchanged item. If a share a of the positions agrees, a sample of w positions does with probability a ** w.
+    """
+    rng = np.random.default_rng([seed, n, k])
+    moves = rng.integers(0, 2, (walks, 2 * n, SLOTS), np.int8)
+    plain, edited = [], []
+    for _ in range(TRIALS):
+        item = rng.integers(1, 1 << 20, n).tolist()
+        run = list(item)
+        for at, kind in zip(sorted(rng.choice(n, k, replace=False).tolist(), reverse=True), rng.integers(0, 3, k).tolist()):
+            # A substitution, a deletion or an insertion.
+            run[at : at + (kind < 2)] = [] if kind == 1 else [int(rng.integers(1 << 20, 1 << 21))]
+        plain.append(np.r_[item, np.zeros(2 * n, np.int64)])
+        edited.append(np.r_[run, np.zeros(2 * n, np.int64)])
+    outs = []
+    for texts in (plain, edited):
+        starts = np.cumsum([0, *map(len, texts)])[:-1]
+        outs.append([walk(np.r_[np.concatenate(texts), 0], starts, m[: reach(n)]) for m in moves])
+    agree = np.stack([(a == b).mean(axis=0) for a, b in zip(*outs)])  # walks x trials
+    for width in WIDTHS:
+        miss, samples = (1 - agree**width).clip(1e-300), 1
+        while samples <= MOST:
+            if 1 - np.prod(miss**samples, axis=0).mean() >= target:
+                return width, samples
+            samples += 1
+    return None
+
+
+def reach(n: int) -> int:
+    """The steps of a walk over a window of n words; the last ones are most often behind it."""
+    return max(1, 2 * n - n // 4)
+
+
 class Matcher:
     """The index of a block of items, and the search in documents."""
 
-    def __init__(self, items: list[tuple[int, bytes]], share: float, walks: int, samples: int, width: int, seed: int):
-        self.walks, self.samples, self.width = walks, samples, width
+    def __init__(
+        self, items: list[tuple[int, bytes]], share: float, walks: int, seed: int, plans: dict[int, tuple[int, int] | None]
+    ):
         self.ids, words = [i for i, _ in items], [tokens(t) for _, t in items]
         self.vocabulary: dict[bytes, int] = {}
         for w in words:
@@ -86,9 +129,9 @@ class Matcher:
         rng = np.random.default_rng(seed)
         # A random bit for each walk, step and slot of words; two steps per word on average.
         self.moves = rng.integers(0, 2, (walks, 2 * max(lengths, default=1), SLOTS), np.int8)
-        # Per item length and walk: samples x width positions in the walk's output.
-        self.picks = {n: rng.integers(0, max(1, 2 * n - n // 4), (walks, samples, width)) for n in lengths}
-        self.index = {n: self._index([i for i, w in enumerate(words) if len(w) == n], n) for n in lengths}
+        # Per item length and walk: samples x width positions in the walk's output. Others are searched exactly.
+        self.picks = {n: rng.integers(0, reach(n), (walks, plans[n][1], plans[n][0])) for n in lengths if plans[n]}
+        self.index = {n: self._index([i for i, w in enumerate(words) if len(w) == n], n) for n in self.picks}
         self._postings()
 
     def _postings(self) -> None:
@@ -108,6 +151,7 @@ class Matcher:
         self.short = {i: int(x[0]) for i, x in enumerate(self.items) if 0 < len(x) < 3}
         # The least number of an item's triples in a run that matches it.
         self.least = np.array([max(1, len(x) - 2 - 3 * k) for x, k in zip(self.items, self.edits)], np.int64)
+        self.overlap = max((len(x) + k for x, k in zip(self.items, self.edits)), default=0) + 3
 
     def _codes(self, x: np.ndarray) -> np.ndarray:
         return (x[:-2] * self.v + x[1:-1]) * self.v + x[2:]
@@ -121,8 +165,8 @@ class Matcher:
         keys = []
         for w, picks in enumerate(self.picks[n]):
             out = walk(symbols, starts, self.moves[w, : int(picks.max()) + 1])
-            for s in range(self.samples):
-                key = np.full(len(starts), w * self.samples + s + 1, np.uint64)
+            for s in range(len(picks)):
+                key = np.full(len(starts), w * MOST + s + 1, np.uint64)
                 for at in picks[s]:
                     key = _mix(key + out[at].astype(np.uint64))
                 keys.append(key)
@@ -154,13 +198,6 @@ class Matcher:
         right = self.triples[found] == codes[maybe]
         return at[maybe[right]], found[right]
 
-    def windows(self, x: np.ndarray, places: np.ndarray, triples: np.ndarray) -> dict[int, np.ndarray]:
-        """Per item length, the starts of the windows that can match some item of that length."""
-        starts: dict[int, list[np.ndarray]] = {}
-        for i, at in self.held(x, places, triples).items():
-            starts.setdefault(len(self.items[i]), []).append(self.runs(i, at, self.edits[i]))
-        return {n: np.unique(np.concatenate(s)) for n, s in starts.items() if s}
-
     def held(self, x: np.ndarray, places: np.ndarray, triples: np.ndarray) -> dict[int, np.ndarray]:
         """Per item with enough triples in the text, their places (of one with fewer than three words: of its first)."""
         sizes = self.bounds[triples + 1] - self.bounds[triples]
@@ -178,8 +215,15 @@ class Matcher:
         reach, need = n + k - 3, max(1, n - 2 - 3 * k)
         # The windows with the (j)th to (j + need)th place: from the last less the reach, to the first.
         low, high = np.maximum(0, at[need - 1 :] - reach), at[: max(0, len(at) - need + 1)]
-        runs = [np.arange(a, b + 1) for a, b in zip(low.tolist(), high.tolist()) if a <= b]
-        return np.unique(np.concatenate(runs)) if runs else np.zeros(0, np.int64)
+        some = low <= high
+        if not some.any():
+            return np.zeros(0, np.int64)
+        # Overlapping ranges are counted at their ends, not written out.
+        first, last = int(low[some].min()), int(high[some].max())
+        edge = np.zeros(last - first + 2, np.int32)
+        np.add.at(edge, low[some] - first, 1)
+        np.add.at(edge, high[some] - first + 1, -1)
+        return first + np.flatnonzero(np.cumsum(edge[:-1]) > 0)
 
     def met(self, symbols: np.ndarray, starts: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
         """(item, starts of the windows that share a key with it)."""
@@ -233,10 +277,18 @@ class Matcher:
             a, b = int(cuts[d]), int(cuts[d + 1])
             if b - a < few and not self.short:
                 yield []
-            else:
-                yield self._search(x, places[a:b] - starts[d], triples[a:b])
-
-    def _search(self, x: np.ndarray, places: np.ndarray, triples: np.ndarray) -> list[tuple]:
+                continue
+            best: dict[int, tuple[int, int, int]] = {}
+            for start in range(0, max(1, len(x) - self.overlap), WORDS_AT_ONCE):
+                # Every run that can match lies in one of the overlapping stretches.
+                own = x[start : start + WORDS_AT_ONCE + self.overlap]
+                c, e = np.searchsorted(places[a:b] - starts[d], [start, start + max(0, len(own) - 2)])
+                for i, (edits, at, size) in self._search(own, places[a:b][c:e] - starts[d] - start, triples[a:b][c:e]).items():
+                    best[i] = min(best.get(i, (1 << 30, 0, 0)), (edits, at + start, size))
+            yield [(self.ids[i], s, s + m - 1, e, len(self.items[i])) for i, (e, s, m) in sorted(best.items())]
+
+    def _search(self, x: np.ndarray, places: np.ndarray, triples: np.ndarray) -> dict[int, tuple[int, int, int]]:
+        """Per item found in the stretch the edits, start and length of its best run."""
         best: dict[int, tuple[int, int, int]] = {}
         symbols, done = np.r_[x, 0], {}
 
@@ -248,14 +300,23 @@ class Matcher:
                     found = (int(edits[at]), int(part[at]), int(size[at]))
                     best[item] = min(best.get(item, found), found)
 
-        for n, starts in self.windows(x, places, triples).items():
-            for item, near in self.met(symbols, starts, n):
+        held = self.held(x, places, triples)
+        starts: dict[int, list[np.ndarray]] = {}
+        for item, at in held.items():
+            n, may = len(self.items[item]), self.runs(item, at, self.edits[item])
+            if n in self.index:
+                starts.setdefault(n, []).append(may)
+            else:
+                verify(item, may)
+        for n, several in starts.items():
+            for item, near in self.met(symbols, np.unique(np.concatenate(several)), n):
                 verify(item, near)
                 done[item] = np.union1d(done.get(item, near), near)
-        for item, at in self.held(x, places, triples).items():
-            rest = self.runs(item, at, best[item][0] if item in best else self.edits[item])
-            verify(item, np.setdiff1d(rest, done[item], assume_unique=True) if item in done else rest)
-        return [(self.ids[i], s, s + m - 1, e, len(self.items[i])) for i, (e, s, m) in sorted(best.items())]
+        for item in [i for i in best if i in done]:
+            # A better run, or an earlier one, holds as many triples.
+            rest = self.runs(item, held[item], best[item][0]) if item in held else np.zeros(0, np.int64)
+            verify(item, np.setdiff1d(rest, done[item], assume_unique=True))
+        return best
 
     def search(self, text: bytes) -> list[tuple[int, int, int, int, int]]:
         return next(self.search_all([text]))
@@ -266,6 +327,17 @@ def _within(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def plans_of(words: list[list[bytes]], share: float, target: float, walks: int, seed: int) -> dict[int, tuple[int, int] | None]:
+    """The plan of every item length. Items of one or two words allow no edits: any sample meets them."""
+    lengths = sorted({len(w) for w in words if w})
+    return {n: plan(n, k, target, walks, seed) if (k := allowed(n, share)) else (min(3, n), 1) for n in lengths}
+
+
+def _setup(items: list[tuple[int, bytes]], share: float, target: float, walks: int, seed: int) -> tuple:
+    """What a Matcher of a block is made from; plans are measured once, here."""
+    return items, share, walks, seed, plans_of([tokens(t) for _, t in items], share, target, walks, seed)
+
+
 def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
     """The items in blocks of at most about ``block_bytes`` of text. NULL or empty items match nothing."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
@@ -274,29 +346,29 @@ def blocks_of(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int
     n = max(1, -(-total // block_bytes))
     for b in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).distinct()
-        yield sorted(((-1 if r[0] is None else r[0], bytes(r[1], "utf-8")) for r in part.collect()))
+        rows = [(r[0], bytes(r[1], "utf-8")) for r in part.collect()]
+        yield sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
 
 
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    share: float = 0.2,
-    walks: int = 4,
-    samples: int = 8,
-    width: int = 3,
-    seed: int = 7,
-    block_bytes: int = 8 << 20,
+    share: float = SHARE,
+    target: float = TARGET,
+    walks: int = WALKS,
+    seed: int = SEED,
+    block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """One row per document and item that leaks into it: doc_id, item_id, the words it spans (counted from 0,
     last included), edits, item_words.
 
-    Repeated rows are repeated in the result; a NULL id stays NULL (a NULL item_id is -1). NULL and empty texts
-    have no hits. Only doc_id and text are read. Empty tables give an empty result.
+    ``target`` is the recall at the most edits that an item allows; a run with fewer is found more surely. Repeated rows
+    are repeated in the result; NULL ids stay NULL. NULL and empty texts have no hits. Only doc_id and text are read. Empty tables give an empty result.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     out = None
     for items in blocks_of(benchmark, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast((items, share, walks, samples, width, seed))
+        sent = docs.sparkSession.sparkContext.broadcast(_setup(items, share, target, walks, seed))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(*sent.value)
@@ -315,12 +387,12 @@ def find_leaks(
 HITS_NAMES = ["doc_id", "item_id", "first_word", "last_word", "edits", "item_words"]
 
 
-def leak_column(text: Column, docs: DataFrame, benchmark: DataFrame, share: float = 0.2, walks: int = 4,
-                samples: int = 8, width: int = 3, seed: int = 7, block_bytes: int = 8 << 20) -> Column:
+def leak_column(text: Column, docs: DataFrame, benchmark: DataFrame, share: float = SHARE, target: float = TARGET,
+                walks: int = WALKS, seed: int = SEED, block_bytes: int = 4 << 20) -> Column:
     """Whether any item leaks into the text."""
     spark, flag = docs.sparkSession, F.lit(False)
     for items in blocks_of(benchmark, block_bytes):
-        sent = spark.sparkContext.broadcast((items, share, walks, samples, width, seed))
+        sent = spark.sparkContext.broadcast(_setup(items, share, target, walks, seed))
         flag = flag | F.arrow_udf(_flags(sent), T.BooleanType())(text)
     return flag
 
