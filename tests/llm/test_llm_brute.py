@@ -166,27 +166,87 @@ def test_leaks_by_brute_force(spark):
         assert edits_of(items[r.item_id], run) <= r.edits
 
 
-@pytest.mark.parametrize("n", [4, 13, 25, 59, 100, 200, 400])
+def matcher_of(items, target=decontamination.TARGET):
+    texts = [(i, " ".join(x).encode()) for i, x in enumerate(items)]
+    return decontamination.Matcher(*decontamination._setup(texts, 0.2, target, 4, 7))
+
+
+def at_the_bound(rng, item, k):
+    run = list(item)
+    for e, at in enumerate(sorted(rng.sample(range(len(item)), k), reverse=True)):
+        if e % 3 == 0:
+            run[at] = "other"
+        elif e % 3 == 1:
+            del run[at]
+        else:
+            run.insert(at, "other")
+    return run
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 7, 13, 25, 59, 100, 200, 400, 500])
 def test_leaks_at_the_bound(n):
-    """Items of every length with exactly as many edits as are allowed: all are found, with the least edits."""
+    """Items of every length with exactly as many edits as are allowed: the target recall, with the least edits."""
     rng, k = random.Random(n), decontamination.allowed(n, 0.2)
-    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for _ in range(40)]
-    matcher = decontamination.Matcher([(i, " ".join(x).encode()) for i, x in enumerate(items)], 0.2, 4, 8, 3, 7)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(n)] for _ in range(150 if n < 150 else 50)]
+    matcher, found_all = matcher_of(items), 0
+    assert n < 3 or n in matcher.index  # by sampling, not by the exact way
     for i, x in enumerate(items):
-        run = list(x)
-        for e, at in enumerate(sorted(rng.sample(range(n), k), reverse=True)):
-            if e % 3 == 0:
-                run[at] = "other"
-            elif e % 3 == 1:
-                del run[at]
-            else:
-                run.insert(at, "other")
+        run = at_the_bound(rng, x, k)
         around = [f"w{rng.randrange(3000)}" for _ in range(60)]
         text = [*around[:30], *run, *around[30:]]
         found = {h[0]: h for h in matcher.search(" ".join(text).encode())}
-        assert i in found
-        if i < 5:
+        found_all += i in found
+        if i < 5 and i in found:
             assert found[i][3] == edits_of(x, text)
+    assert found_all >= 0.99 * len(items)
+
+
+def test_recall_follows_the_target():
+    """With a low target fewer windows meet: the samples do decide."""
+    rng = random.Random(2)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(30)] for _ in range(200)]
+    runs = [" ".join(at_the_bound(rng, x, decontamination.allowed(30, 0.2))).encode() for x in items]
+    recall = {}
+    for target in (0.3, 0.999):
+        matcher = matcher_of(items, target)
+        recall[target] = sum(i in {h[0] for h in matcher.search(t)} for i, t in enumerate(runs)) / 200
+    assert 0.15 < recall[0.3] < 0.8 and recall[0.999] >= 0.985
+
+
+def test_lengths_beyond_the_samples_are_searched_exactly(monkeypatch):
+    monkeypatch.setattr(decontamination, "MOST", 0)
+    decontamination.plan.cache_clear()
+    rng = random.Random(4)
+    items = [[f"w{rng.randrange(3000)}" for _ in range(40)] for _ in range(30)]
+    matcher = matcher_of(items)
+    decontamination.plan.cache_clear()
+    assert not matcher.index
+    for i, x in enumerate(items):
+        run = at_the_bound(rng, x, decontamination.allowed(40, 0.2))
+        assert i in {h[0] for h in matcher.search(" ".join(run).encode())}
+
+
+def test_leaks_in_very_long_texts(monkeypatch):
+    """Stretches give what one search of the whole text gives, in memory that follows the text."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    items = [[f"w{rng.randrange(500)}" for _ in range(n)] for n in (13, 20, 20, 33, 60) for _ in range(4)]
+    matcher = matcher_of(items)
+    text = []
+    for _ in range(300):
+        x = rng.choice(items)
+        text += at_the_bound(rng, x, rng.randint(0, decontamination.allowed(len(x), 0.2)))
+        text += [f"w{rng.randrange(500)}" for _ in range(rng.randint(0, 60))]
+    whole = matcher.search(" ".join(text).encode())
+    monkeypatch.setattr(decontamination, "WORDS_AT_ONCE", 700)
+    assert matcher.search(" ".join(text).encode()) == whole and len(whole) == len(items)
+    monkeypatch.undo()
+    again = " ".join(items[0] * 40_000).encode()  # 520,000 words that repeat an item
+    tracemalloc.start()
+    assert matcher.search(again)[0][:4] == (0, 0, 12, 0)
+    assert tracemalloc.get_traced_memory()[1] < 400 * 520_000
+    tracemalloc.stop()
 
 
 def test_leaks_in_blocks_agree(spark, docs):
