@@ -6,7 +6,8 @@
 * **Candidates.** Every triple of a text is looked up; hits of one template on nearby diagonals are one candidate.
 * **Alignment.** Template and text are aligned locally in a band around the diagonal: +2 for equal words, -1 for
   differing, inserted or missing ones. A notice is reported if the words matched make up ``coverage`` of the
-  template; of overlapping notices the one with more matched words stays.
+  template and its deciding words (version numbers, and names that tell relatives apart) are among them; of
+  overlapping notices the one with more matched words stays, of equal ones the one with the higher coverage.
 
 Words are compared in lower case (A-Z) and without ASCII punctuation. Texts are read once and not moved.
 """
@@ -60,11 +61,29 @@ TEMPLATES = [
         "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
         "list of conditions and the following disclaimer.",
     ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
     (
         "ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software.",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
         "GPL-3.0",
@@ -72,10 +91,73 @@ TEMPLATES = [
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    (
+        "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this "
+        "work.",
+    ),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("All rights reserved", "All rights reserved."),
 ]
+# Identifiers of the SPDX list, as they stand behind its tag.
+SPDX = (
+    "MIT ISC Zlib Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 GPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0-only "
+    "GPL-3.0-or-later LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later AGPL-3.0 "
+    "AGPL-3.0-only AGPL-3.0-or-later MPL-2.0 EPL-2.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC0-1.0 Unlicense"
+).split()
+TEMPLATES += [(x, f"SPDX-License-Identifier: {x}") for x in SPDX]
+# Words that tell a license from its relatives, beside version numbers and what follows "CC".
+NAMES = (
+    "mit apache boost mozilla eclipse lesser affero attribution attributionsharealike attributionnoncommercial "
+    "attributionnoncommercialsharealike attributionnoderivatives"
+).encode().split()
+VERSION = re.compile(rb"v?\d+$")
+
+
+def deciding(words: list[bytes]) -> set[bytes]:
+    """The words of a template without which a text is another license's notice."""
+    return {w for i, w in enumerate(words) if w in NAMES or VERSION.match(w) or words[i - 1 : i] == [b"cc"]}
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -134,6 +216,7 @@ class Scanner:
                 self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
         self.v = len(self.vocabulary) + 1
         self.templates = [[self.vocabulary[x] for x in w] for w in split]
+        self.deciding = [{self.vocabulary[x] for x in deciding(w)} for w in split]
         entries: list[tuple[int, int, int]] = []
         self.short: dict[int, list[int]] = {}
         for t, x in enumerate(self.templates):
@@ -172,7 +255,9 @@ class Scanner:
         return found
 
     def band(self, t: int) -> int:
-        return max(3, len(self.templates[t]) // 8)
+        """How far a notice may shift; less than half a template, so that adjoining notices stay apart."""
+        n = len(self.templates[t])
+        return min(max(3, n // 8), (n - 1) // 2)
 
     def notices(self, text: bytes) -> list[tuple[int, float, int, int, int]]:
         """(template, coverage, matched, first word, last word), in the order of the text."""
@@ -183,7 +268,7 @@ class Scanner:
             low = max(0, d - band)
             part = x[low : max(low, d + len(template) + 2 * band)].tolist()
             matched, first, last = align(template, part, d - low, 2 * band)
-            if matched >= self.coverage * len(template):
+            if matched >= self.coverage * len(template) and self.deciding[t] <= set(part[first : last + 1]):
                 found.append((t, matched / len(template), matched, low + first, low + last))
         kept: list[tuple[int, float, int, int, int]] = []
         taken = np.zeros(len(x), bool)
