@@ -44,7 +44,7 @@ BITS = 18
 SLOTS = 4096
 VERIFIED_AT_ONCE = 4096
 SHARE, TARGET, WALKS, SEED = 0.2, 0.999, 4, 7
-WIDTHS, MOST, TRIALS = (3, 2, 1), 64, 48
+WIDTHS, MOST, TRIALS = (3, 2, 1), 64, 256
 WORDS_AT_ONCE = 1 << 18
 
 
