@@ -567,8 +567,10 @@ def test_notices_with_edits():
     rng = random.Random(8)
     for t, (name, text) in enumerate(licenses.TEMPLATES):
         words = text.split()
-        if len(words) > 20:  # one word in ten differs
-            words = [w if rng.random() > 0.1 else "other" for w in words]
+        if len(words) > 20:  # one word in ten differs, but none that tells licenses apart
+            own = licenses.deciding(licenses.words_of(text.encode()))
+            keep = lambda w: set(licenses.words_of(w.encode())) & own or rng.random() > 0.1
+            words = [w if keep(w) else "other" for w in words]
         body = [f"v{rng.randrange(99)}" for _ in range(30)]
         doc = " ".join([*body, *words, *body]).encode()
         found = scanner.notices(doc)
@@ -578,6 +580,68 @@ def test_notices_with_edits():
     assert scanner.notices(b"the license of the work is public and general") == []
 
 
+def test_relatives_versions_and_adjoining_notices():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    names = lambda text: [scanner.names[h[0]] for h in scanner.notices(text.encode())]
+    gpl = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License "
+           "as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    assert [names(gpl.format("General", v)) for v in "234"] == [["GPL-2.0"], ["GPL-3.0"], []]
+    assert names(gpl.format("Affero General", 3)) == ["AGPL-3.0"]
+    assert names("it is CC BY-SA 4.0.") == ["CC-BY-SA-4.0"] and names("Licensed under CC BY-NC-SA 4.0") == ["CC-BY-NC-SA-4.0"]
+    assert names("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License") == ["CC-BY-SA-4.0"]
+    assert names("/* SPDX-License-Identifier: GPL-2.0-or-later */") == ["GPL-2.0-or-later"]
+    assert names("Licensed under the Apache License, Version 1.1.") == []
+    assert names("All rights reserved. " * 5) == ["All rights reserved"] * 5
+    assert names("Released under the MIT License. All rights reserved. Released under the MIT License.") == [
+        "MIT", "All rights reserved", "MIT"]
+
+
+def most_matched(template, words):
+    """The matched words of the best local alignment, over whole template and text."""
+    best, above = (0, 0), [(0, 0)] * (len(words) + 1)
+    for want in template:
+        row = [(0, 0)]
+        for j, w in enumerate(words, 1):
+            if w == want:
+                here = (above[j - 1][0] + 2, above[j - 1][1] + 1)
+            else:
+                here = max((x - 1, m) for x, m in (above[j - 1], above[j], row[-1]))
+                here = here if here[0] > 0 else (0, 0)
+            row.append(here)
+            best = max(best, here)
+        above = row
+    return best[1]
+
+
+def test_notices_against_whole_alignments():
+    """Damaged notices: what is reported is what aligning every template with the whole text finds."""
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    rng, seen = random.Random(14), 0
+    for case in range(120):
+        t = rng.randrange(len(licenses.TEMPLATES))
+        words = licenses.words_of(licenses.TEMPLATES[t][1].encode())
+        damage = rng.choice([0, 0.05, 0.15, 0.3])
+        body = [w for w in words if rng.random() > damage / 2]
+        body = [w if rng.random() > damage / 2 else b"other" for w in body]
+        noise = [b"v%d" % rng.randrange(99) for _ in range(20)]
+        text = [*noise, *body, *noise]
+        got = scanner.notices(b" ".join(text))
+        may = {}
+        for i, (_, wording) in enumerate(licenses.TEMPLATES):
+            own = licenses.words_of(wording.encode())
+            n = most_matched(own, text)
+            if n >= licenses.COVERAGE * len(own) and licenses.deciding(own) <= set(text):
+                may[i] = n
+        assert len(got) <= 1 and {h[0] for h in got} <= set(may)
+        # Winnowing vouches for templates of which six words in a row are left.
+        joined, run = b" ".join(body), licenses.WINDOW + 2
+        intact = any(b" ".join(words[i : i + run]) in joined for i in range(max(1, len(words) - run + 1)))
+        if intact and t in may:
+            assert got and got[0][2] == max(may.values()), (case, licenses.TEMPLATES[t], got, may)
+            seen += 1
+    assert seen > 50
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(6)
     hashes = rng.integers(0, 1 << 62, 300, np.uint64)
