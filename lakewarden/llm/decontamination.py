@@ -13,8 +13,8 @@ compared in lower case (A-Z) and without ASCII punctuation.
 * **Bit sampling.** Each repetition takes ``width`` positions of a walk's output as a key; a window and an item meet
   if any key is equal. How many repetitions an item length needs follows from how far outputs agree after the most
   edits that it allows (``plan``): as many as reach the target recall even then. Only pairs that met are candidates.
-  A length for which ``MOST`` repetitions a walk do not suffice (items of some thousand words) is searched exactly: all
-  its windows that hold enough triples are candidates.
+  A length for which ``MOST`` repetitions a walk do not suffice (a few words, or thousands) is searched exactly: all its
+  windows that hold enough triples are candidates.
 * **Verification.** Candidates are verified by banded edit distance with a free end. For each document and item the
   best run is reported; of several, the first: around an item that was found, the windows that could hold a better
   run (the fewer edits the found one has, the more triples that takes) are verified too.
