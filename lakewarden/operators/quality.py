@@ -271,7 +271,7 @@ def flag_rows(
                 [c.rule.column],
                 "left",
                 rows_per_group=rows_per_group,
-                hot=twice.filter(F.col("n") > rows_per_group),
+                hot=twice.filter(F.col("n") > rows_per_group).withColumnRenamed("n", "_rows"),
                 **limits,
             )
         else:
