@@ -2,14 +2,16 @@
 
 DataFrame functions and Spark's own random forest only: there is no Python in the tasks.
 
-* **Candidates** are runs of 16 or more letters, digits and ``+ / _ . -`` that hold a digit. The pattern starts at
-  the beginning of a run and does not go back, so its time is linear in the text.
+* **Candidates** are the whole values that are assigned to a credential word, of any signs and four or more characters;
+  runs of 16 or more letters, digits and ``+ / _ . -`` that hold a digit, and of 32 or more that hold a letter; and the
+  headers of private keys. The pattern starts at the beginning of a run and does not go back, so its time is linear.
 * **Features**: length; transitions between classes of characters and the share of each class; how much of the
   candidate's letters dictionary words cover (the words that occur most often in the corpus); whether it is part of
   a path, a host or an address; credential words and signs of assignment before it, words that say "example" near it.
-* **Forest**: trained on labelled findings, at most about ``ROWS`` of them (those with the smallest hash). Where the
-  caller has no labels, ``label_findings`` gives them to candidates whose form or assignment leaves no doubt, and
-  leaves the others to the forest.
+* **Forest**: trained on labelled findings, at most about ``ROWS`` of them (those with the smallest hash of all their
+  columns and their place). Where the caller has no labels, ``label_findings`` gives them to candidates whose form or
+  assignment leaves no doubt, and leaves the others to the forest. A documented form is a secret whatever the forest has
+  seen of it.
 * **Scale**: candidates are a small part of the text. Their places are running sums per text over the pieces
   between candidates; texts themselves are not moved.
 """
@@ -26,15 +28,22 @@ from pyspark.sql import functions as F
 from lakewarden.llm.common import most_frequent, sampled, table_of
 
 RUN = r"[A-Za-z0-9+/_.\-]"
-CANDIDATE = rf"(?<!{RUN})(?=[A-Za-z+/_.\-]*+[0-9]){RUN}{{16,}}+"
+WORDS = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth|bearer|credential"
+# A credential word, at most the rest of a name, a sign of assignment; group 1 ends where the value begins.
+ASSIGNED = rf"((?i:{WORDS})[A-Za-z0-9_\-]{{0,24}}+[\"']?[ \t]{{0,4}}(?:=>|:=|[=:])[ \t]{{0,4}}[\"']?)"
+VALUE = r"([^\s\"'<>\x01]{3,}[^\s\"'<>\x01,;.)])"
+LONG = rf"(?<!{RUN})(?=[A-Za-z+/_.\-]*+[0-9]){RUN}{{16,}}+|(?<!{RUN})(?=[0-9+/_.\-]*+[A-Za-z]){RUN}{{32,}}+"
+KEY_HEADER = r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----"
+CLOUD_KEY = rf"(?<!{RUN})(?:AKIA|ASIA)[0-9A-Z]{{16}}(?!{RUN})"
+CANDIDATE = rf"{ASSIGNED}{VALUE}|({KEY_HEADER}|{CLOUD_KEY}|{LONG})"
 MARK = "\u0001"
 NEAR = 80  # characters of context on either side
 ROWS = 20_000
 DICTIONARY = 50_000
-CREDENTIAL = r"(?i)(pass(word|wd)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth|bearer|credential)"
+CREDENTIAL = rf"(?i)(?:{WORDS})"
 EXAMPLE = r"(?i)(example|sample|dummy|placeholder|changeme|xxxx|redacted)"
 # Forms that providers document for their keys.
-PROVIDER = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^xox[bapr]-[0-9A-Za-z-]{10,}$|^sk_live_[0-9A-Za-z]{16,}$"
+PROVIDER = r"^-----BEGIN |^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^xox[bapr]-[0-9A-Za-z-]{10,}$|^sk_live_[0-9A-Za-z]{16,}$"
 FEATURES = [
     "length",
     "transitions",
@@ -51,13 +60,14 @@ FEATURES = [
     "assigned",
     "quoted",
     "example",
+    "form",
 ]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: doc_id, start_char, end_char (exclusive), candidate, before, after."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), MARK, " ")
-    cut = F.split(F.regexp_replace(text, CANDIDATE, MARK + "$0" + MARK), MARK)
+    cut = F.split(F.regexp_replace(text, CANDIDATE, "$1" + MARK + "$2$3" + MARK), MARK)
     hits = docs.filter(F.col("text").rlike(CANDIDATE)).select(F.col("doc_id").alias("doc_id"), cut.alias("_p"))
     hits = hits.withColumn("_row", F.monotonically_increasing_id())
     # Pieces at odd places are candidates, the ones before and after them their context.
@@ -116,8 +126,9 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         "covered": F.least(F.coalesce("_covered", F.lit(0)) / letters, F.lit(1.0)),
         "path": (c.contains("/") | F.col("before").rlike(r"/$|://\S*$")).cast("double"),
         "host": (F.col("before").rlike(r"@$") | F.col("after").rlike(r"^@") | c.rlike(r"\.(com|net|org|html?|py|txt)$")).cast("double"),
-        "credential": F.col("before").rlike(CREDENTIAL + r"[^\n]{0,12}$").cast("double"),
-        "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
+        "credential": F.col("before").rlike(CREDENTIAL + r"[^\n]{0,28}$").cast("double"),
+        "assigned": F.col("before").rlike(r"(?:[=:]|=>)\s*[\"']?$").cast("double"),
+        "form": c.rlike(PROVIDER).cast("double"),
         "quoted": (F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']")).cast("double"),
         "example": (F.col("before").rlike(EXAMPLE) | F.col("after").rlike(EXAMPLE) | c.rlike(EXAMPLE)).cast("double"),
     }
@@ -139,7 +150,9 @@ def label_findings(found: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, rows: int = ROWS, trees: int = 20, depth: int = 6, seed: int = 3) -> PipelineModel | None:
     """A forest from at most ``rows`` labelled findings; None if there are not both kinds."""
     known = labelled.filter("label IS NOT NULL").select("label", *FEATURES)
-    sample = table_of(sampled(known, rows, *known.columns), "findings")
+    # Equal findings differ in their place, so the bound holds for them too.
+    known = known.withColumn("_at", F.monotonically_increasing_id())
+    sample = table_of(sampled(table_of(known, "labelled"), rows, *known.columns), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
@@ -167,5 +180,6 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     """
     found = table_of(features(candidates(docs), table_of(dictionary(docs), "dictionary")), "candidates")
     model = train(label_findings(found) if labelled is None else labelled, **options)
-    out = classify(found, model).withColumn("is_secret", F.col("score") >= threshold)
+    sure = (F.col("form") == 1) & (F.col("example") == 0)
+    out = classify(found, model).withColumn("is_secret", (F.col("score") >= threshold) | sure)
     return out.select("doc_id", "start_char", "end_char", "candidate", "score", "is_secret")
