@@ -20,6 +20,8 @@ A batch that is written again gives the same rows, because it reads only the bat
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -151,10 +153,16 @@ def apply_batch(
         names = ["bri", "seq", "action", "fields", "status", "was"]
         changes = folded.select(*names).unionByName(lost.select(*names))
         changes = changes.filter(F.col("was").isNull() | ~F.col("was").isin("image") & (F.col("was") != F.col("status")))
-        _write(changes.drop("was").withColumn("bucket", bucket), f"{path}/changes/batch={batch}")
         state = images(folded).select("bri", "alive", "last_seq", "fields", bucket.alias("bucket"))
-        _write(state, f"{path}/state/batch={batch}")
-        dead.write.mode("overwrite").parquet(f"{path}/dead/batch={batch}")
+        # Three jobs side by side; the batch is marked when all are done.
+        with ThreadPoolExecutor(3) as pool:
+            jobs = [
+                pool.submit(_write, changes.drop("was").withColumn("bucket", bucket), f"{path}/changes/batch={batch}"),
+                pool.submit(_write, state, f"{path}/state/batch={batch}"),
+                pool.submit(dead.write.mode("overwrite").parquet, f"{path}/dead/batch={batch}"),
+            ]
+            for job in jobs:
+                job.result()
         _mark(spark, f"{path}/manifest/batch={batch}", buckets)
     finally:
         for df in kept:

@@ -28,4 +28,5 @@ def test_entry(spark):
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(OWN) - set(entry.oracle_sql()) == set()
+    # Look-around, which the engine of the SQL lacks: compared with Python in test_entities.
+    assert set(OWN) - set(entry.oracle_sql()) == {"detect_all"}
