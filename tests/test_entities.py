@@ -210,3 +210,20 @@ def test_linear_forms_have_the_same_matches(spark):
         if p.plain:
             for r in df.select("t", p.matches(F.col("t")).alias("m")).collect():
                 assert r.m == expected(p, r.t), (p.name, r.t)
+
+
+def test_spread_grows_tasks_with_the_input(spark, tmp_path, monkeypatch):
+    """Costly per-row work gets more tasks as its input grows, not a fixed one per core."""
+    from lakewarden import settings
+
+    monkeypatch.setattr(settings, "BYTES_PER_TASK", 4096, raising=False)
+    cores = spark.sparkContext.defaultParallelism
+    parts = []
+    for n in (5_000, 20_000):
+        path = f"{tmp_path}/t{n}.parquet"
+        spark.range(n).selectExpr("id", "concat('call 415-555-', id % 10000, ' ext. 1') AS t").write.parquet(path)
+        df = spark.read.parquet(path)
+        spread = settings.spread(df)
+        parts.append(spread.rdd.getNumPartitions())
+        assert sorted(spread.collect()) == sorted(df.collect())
+    assert cores < parts[0] < parts[1]
