@@ -279,8 +279,7 @@ def ingest_json_files(spark, folder):
     documents = read(spark, folder, "supplier").select(
         F.col("s_suppkey").cast("string").alias("bri"), F.col("s_name").alias("name"),
         F.lit("supplier").alias("datatype"), F.col("s_nationkey").alias("retention"))
-    documents.select(F.to_json(F.struct("*")).alias("value")).write.option(
-        "maxRecordsPerFile", 1).text(path)
+    files.write_documents(documents, path)
     found, _ = files.read_documents(spark, path)
     valid, _ = validate(found)
     return fill_defaults(valid).select("bri", "name", "datatype", "retention", "metadatatype")

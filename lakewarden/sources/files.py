@@ -16,6 +16,21 @@ DOCUMENT_SCHEMA = (
     "primaryKeyColumn BOOLEAN, retention INT, tag ARRAY<STRING>, additional_metadata STRING"
 )
 
+# Documents written by one task: each is a file of its own, which costs far more than its row.
+DOCUMENTS_PER_TASK = 1000
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """Each row as one JSON document in a file of its own.
+
+    The rows are dealt to one task per ``DOCUMENTS_PER_TASK`` (at least one per core), so that
+    the files are made in parallel however few parts the input has.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, -(-df.count() // DOCUMENTS_PER_TASK))
+    rows = df.repartition(parts).select(F.to_json(F.struct("*")).alias("value"))
+    rows.write.option("maxRecordsPerFile", 1).text(path)
+
 
 def read_documents(
     spark: SparkSession, path: str, schema: str = DOCUMENT_SCHEMA

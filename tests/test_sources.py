@@ -209,3 +209,24 @@ def test_a_batch_writes_only_its_keys(spark, folder):
     assert len(found) == 2000 and found["k3"]["name"] == "m" and found["k10"]["name"] == "n"
     registry_stream.apply_batch(frame(spark, ["broken"]), 2, path, buckets=4)  # no event at all
     assert len(living(spark, path)) == 2000
+
+
+def test_json_documents_are_written_by_many_tasks(spark, folder):
+    """One file per document, but not all made by one task when the input is one part."""
+    import glob
+
+    from lakewarden.plans import profiling
+    from lakewarden.settings import work_dir
+
+    n = 2500
+    supplier = spark.range(n).select(
+        F.col("id").alias("s_suppkey"), F.format_string("S%d", "id").alias("s_name"),
+        (F.col("id") % 25).cast("int").alias("s_nationkey"), F.lit(1.0).alias("s_acctbal"))
+    supplier.coalesce(1).write.parquet(f"{folder}/supplier.parquet")
+    before = set(glob.glob(f"{work_dir(spark)}/documents-*"))
+    result = profiling.ingest_json_files(spark, folder)
+    assert sorted(int(r.bri) for r in result.collect()) == list(range(n))
+    [written] = set(glob.glob(f"{work_dir(spark)}/documents-*")) - before
+    names = [os.path.basename(p) for p in glob.glob(f"{written}/part-*")]
+    assert len(names) == n
+    assert len({name.split("-")[1] for name in names}) > 1
