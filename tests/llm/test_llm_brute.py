@@ -299,6 +299,51 @@ def test_noise_contrast_learns_a_distribution():
     assert np.exp(right).mean() > 0.5
 
 
+def test_a_pass_holds_every_count():
+    """One go over the triples gives each its whole count, however uneven they are, and leaves none out."""
+    rng = np.random.default_rng(3)
+    counts = np.r_[rng.integers(1, 4, 700_000), [900_000, 5_000]]
+    weights = np.zeros(len(counts))
+    for at, weight in language_model.all_of(counts, rng):
+        np.add.at(weights, at, weight)
+    assert np.allclose(weights / weights.sum(), counts / counts.sum(), rtol=1e-5)
+
+
+def test_words_of_a_class_follow_the_class_before(spark):
+    """Words that share a class are told apart by what stands before them, and their chances still add up to one."""
+    fillers = [f"w{i}x" for i in range(language_model.HEADS)]
+    lines = [" ".join(fillers * 4)] * 20 + [f"{fillers[0]} goodish {fillers[1]} baddish"] * 60
+    probes = [f"{fillers[0]} goodish", f"{fillers[0]} baddish", f"{fillers[0]} neverish"]
+    free = (i for i in itertools.count() if zlib.crc32(str(i).encode()) % 7 != 2)
+    held = (i for i in itertools.count() if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [*zip(free, lines), *zip(held, probes)]
+    scores = {r.doc_id: r for r in language_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    good, bad, never = (scores[i].score for i, _ in rows[-3:])
+    base = [scores[i].base_score for i, _ in rows[-3:]]
+    assert base[0] == pytest.approx(base[1]) and good > bad + 0.5 and bad > never
+
+
+def test_word_sums_are_exact(spark):
+    """The words of a class and its rest have probabilities that add up to one after every class."""
+    rng, k = np.random.default_rng(4), language_model.CLASSES
+    n = 600
+    kinds = np.r_[np.full(n // 2, k - 1), np.full(n // 2, k - 2)]
+    shares = rng.dirichlet(np.ones(n // 2 + 1), 2)[:, 1:].ravel()  # the first part is for other words
+    pairs = [(w, int(h), int(c)) for w in range(n) for h, c in zip(rng.integers(0, k, 5), rng.integers(1, 30, 5))]
+    before_class = np.zeros((k, k))
+    for w, h, c in pairs:
+        before_class[h, kinds[w]] += c
+    contexts = np.c_[rng.normal(0, 1, (k, language_model.DIM)), np.ones(k)].astype(np.float32)
+    frame = spark.createDataFrame(pairs, "word long, one long, n long")
+    values, log_sums = language_model.train_words(frame, kinds, shares, before_class, contexts)
+    assert values.any(axis=1).all()
+    for c in (k - 1, k - 2):
+        own = kinds == c
+        chance = shares[own, None] * np.exp(values[own] @ contexts.T - log_sums[:, c])
+        rest = (1 - shares[own].sum()) * np.exp(-log_sums[:, c])
+        assert np.allclose(chance.sum(axis=0) + rest, 1, atol=1e-4)
+
+
 # --- quality -------------------------------------------------------------------------------------------------
 
 
