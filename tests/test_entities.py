@@ -212,6 +212,46 @@ def test_linear_forms_have_the_same_matches(spark):
                 assert r.m == expected(p, r.t), (p.name, r.t)
 
 
+def test_leading_tests_lose_no_match(spark):
+    """The patterns as they are searched and as the fixed values say them, on the same engine: with letters, digits and
+    blanks beyond ASCII, which follow Unicode and fold to ASCII letters."""
+    rnd = random.Random(11)
+    odd = ["\u00a0", "\u2003", "\u0085", "ſ", "\u212a", "ı", "İ", "٣", "５", "é", "😀", "\u0301"]
+    parts = [*"0123456789", *"-./:@ (+)\n", "12", "415", "555", "1234", "of", "th", "st", "jan", "May", "Sep.", "regards",
+             "thanks", "yours truly", "Best ", "http://", "www.", "a.com", "x.museum", "10.0.", "p.m.", " ave", " road ", "a", "k", "s"]
+    texts = ["".join(rnd.choices([*parts, *odd], k=rnd.randint(2, 12))) for _ in range(20_000)]
+    texts += [f"{a}{x}{b}" for x in odd for a in ("5", "12", "3 ", "a", ".", "1/") for b in ("May", " may 5", "2/2020", ":30", ".de", "com")]
+    texts += [t.replace(a, b) for hits, _ in EXAMPLES.values() for t in hits for a, b in ((" ", "\u00a0"), ("s", "ſ"), ("k", "\u212a"), ("1", "٣"))]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING").repartition(8).cache()
+    for p in P.PATTERNS:
+        if p.plain and not p.trim:
+            plain = F.regexp_extract_all("t", F.lit(p.plain), F.lit(0))
+            wrong = df.filter(~p.matches(F.col("t")).eqNullSafe(plain)).select("t", p.matches(F.col("t")), plain).take(3)
+            assert not wrong, (p.name, wrong)
+
+
+def test_search_passes_over_most_places(spark):
+    """Notes as the orders have them: all patterns together take well under the time of their fixed values."""
+    note = ("At 10:05 pm call 415-555-0001 ext. 7; paint #00ff07, zip 00123, P.O. Box 123, id: x1, due 1/7/2020, name: c123, "
+            "cost $7.25, mail a123@shop.example.org, ask @clerk_3, from 10.0.7.1, see http://x9.example.com/p . Kind regards, 5-LOW")
+    df = spark.range(40_000, numPartitions=8).select(F.concat(F.lit(note), "id").alias("t")).cache()
+    df.count()
+
+    def seconds(search):
+        best = []
+        for _ in range(2):
+            start = time.perf_counter()
+            for p in P.PATTERNS:
+                df.select(F.sum(F.size(search(p)))).collect()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    led = [p for p in P.PATTERNS if p.plain and not p.trim]
+    assert {"date", "phone", "phone_with_extension", "ip", "domain", "link"} <= {p.name for p in led}
+    fixed = seconds(lambda p: F.regexp_extract_all("t", F.lit(p.plain or p.regex), F.lit(0)))
+    assert seconds(lambda p: F.regexp_extract_all("t", F.lit(p.regex), F.lit(0))) < 0.85 * fixed
+
+
 def test_spread_grows_tasks_with_the_input(spark, tmp_path, monkeypatch):
     """Costly per-row work gets more tasks as its input grows, not a fixed one per core."""
     from lakewarden import settings
